@@ -335,12 +335,13 @@ LANGUAGE_CTES = f"""WITH {gram_cte('train', 'documents', 'doc_id, lang')},
 per_lang AS (SELECT lang, gram, sum(n) AS n FROM train GROUP BY lang, gram),
 vocabulary AS (SELECT DISTINCT gram FROM per_lang
   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 1000),
-languages AS (SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang),
+languages AS (SELECT DISTINCT lang FROM documents),
 known AS (SELECT l.lang, v.gram, coalesce(p.n, 0) AS n FROM languages l
   CROSS JOIN vocabulary v LEFT JOIN per_lang p ON p.lang = l.lang AND p.gram = v.gram),
 theta AS (SELECT lang, gram,
   ln(n + 1.0) - ln(sum(n) OVER (PARTITION BY lang) + (SELECT count(*) FROM vocabulary)) AS w FROM known),
-prior AS (SELECT lang, ln(n_docs + 1.0) - ln(sum(n_docs) OVER () + count(*) OVER ()) AS w FROM languages)
+seen_grams AS (SELECT lang, sum(n) AS n FROM known GROUP BY lang),
+prior AS (SELECT lang, ln(n + 1.0) - ln(sum(n) OVER () + count(*) OVER ()) AS w FROM seen_grams)
 """
 
 
@@ -578,7 +579,7 @@ ORACLES = {
     "src_csv_scan": f"SELECT doc_id, {not_na('text')}, {not_na('lang')}, {not_na('source')}, n_chars FROM documents",
     "src_json_scan": "SELECT conv_id, turn, role, text FROM conversations",
     "src_read_dataset": """SELECT format, (SELECT count(*) FROM documents) AS n_rows,
-      CASE format WHEN 'txt' THEN 1 ELSE 5 END AS n_columns
+      CASE format WHEN 'txt' THEN 1 ELSE 5 END::BIGINT AS n_columns
       FROM (VALUES ('csv'), ('jsonl'), ('parquet'), ('txt')) AS v(format)""",
     "src_text_columns": f"WITH {SEEDED} " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", round(avg(length({c})), 6) AS average_length, avg(length({c})) > 10 AS is_text FROM seeded"
@@ -602,9 +603,9 @@ ORACLES = {
       LEFT JOIN (SELECT doc_id, count(*) AS n_entities FROM entity GROUP BY doc_id) n ON s.doc_id = n.doc_id""",
     "quality_report": f"""{SEEDED_PROFILE}, {VERDICT}
       SELECT 'documents' AS dataset, '20240131_000000' AS timestamp, passed, issues, {ROUNDED_PROFILE},
-        (SELECT count(*) FROM seeded) AS n_rows, 8 AS n_columns FROM verdict""",
+        (SELECT count(*) FROM seeded) AS n_rows, 8::BIGINT AS n_columns FROM verdict""",
     "quality_report_text": report_lines_sql(),
-    "dataset_stats": "SELECT count(*) AS n_rows, 5 AS n_columns, 'doc_id,lang,n_chars,source,text' AS column_names FROM documents",
+    "dataset_stats": "SELECT count(*) AS n_rows, 5::BIGINT AS n_columns, 'doc_id,lang,n_chars,source,text' AS column_names FROM documents",
     "clean_boilerplate": step(boilerplate("text")),
     "clean_signature": step(signature("text")),
     "clean_blank_lines": step(blank_lines("text")),

@@ -49,7 +49,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return readers.spread(table(spark, folder, "documents"))
 
 
 def seeded(spark: SparkSession, folder: str) -> DataFrame:
@@ -642,7 +642,7 @@ def lang_id(spark, folder):
 def ann_language(spark, folder):
     """The model of the documents applied to the turns of the conversations."""
     model = _language_model(spark, folder)
-    talks = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    talks = readers.spread(table(spark, folder, "conversations")).select("conv_id", "turn", "text")
     return rounded(model.detect(talks, "text").select("conv_id", "turn", "language.*"))
 
 

@@ -67,15 +67,19 @@ COMMAND_WORDS = (
 # mailbox and host-label of RFC 5321 / RFC 1035).
 WORD_CHAR = r"\p{L}\p{M}\p{N}_"
 NOT_WORD = rf"[^{WORD_CHAR}]+"
-PIECE = (
-    rf"https?://[^{WS}]+"
-    r"|[a-zA-Z0-9._%+-]{1,64}@(?:[a-zA-Z0-9-]{1,63}\.){1,8}[a-zA-Z]{2,63}"
-    rf"|\p{{Nd}}{{4}}-\p{{Nd}}{{2}}-\p{{Nd}}{{2}}[{WORD_CHAR}]*"
+_URL_PIECE = rf"https?://[^{WS}]+"
+_EMAIL_PIECE = r"[a-zA-Z0-9._%+-]{1,64}@(?:[a-zA-Z0-9-]{1,63}\.){1,8}[a-zA-Z]{2,63}"
+_REST = (
+    rf"\p{{Nd}}{{4}}-\p{{Nd}}{{2}}-\p{{Nd}}{{2}}[{WORD_CHAR}]*"
     rf"|[$€£]?\p{{Nd}}+(?:[.,]\p{{Nd}}+){{0,8}}%?[{WORD_CHAR}]*"
     rf"|[{WORD_CHAR}]+"
-    rf"|[{WS}]+"
-    r"|(?s:.)"
 )
+PIECE = rf"{_URL_PIECE}|{_EMAIL_PIECE}|{_REST}|[{WS}]+|(?s:.)"
+# The same less e-mail addresses, for texts without "@": a word is not tried twice.
+PIECE_NO_EMAIL = rf"{_URL_PIECE}|{_REST}|[{WS}]+|(?s:.)"
+# The pieces that are not blank.
+TOKEN = rf"{_URL_PIECE}|{_EMAIL_PIECE}|{_REST}|[^{WS}]"
+TOKEN_NO_EMAIL = rf"{_URL_PIECE}|{_REST}|[^{WS}]"
 # What makes a piece an entity by its shape, tried in this order; the first
 # pattern is a cheap test that any of them can match at all.
 ENTITY_HINT = r"^(?:https?://.|[$€£]?\p{Nd})|.@."

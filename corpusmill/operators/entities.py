@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import let, named, pieces, scan
+from ..functions.text import let, named, pieces, scan, starts_digit, starts_letter
 from .lookups import MAX_LITERAL_ENTRIES, LiteralLookup, RowLookup, attach_matches
 
 # Phrases known without a gazetteer of the user's.
@@ -74,10 +74,20 @@ class EntityMatcher:
 
     @staticmethod
     def _shape_of(piece: Column) -> Column:
+        """The label by shape or null. Plain words and single characters, which most
+        pieces are, are told by comparisons alone."""
         label = F.lit(None).cast("string")
         for name, pattern in reversed(P.ENTITY_SHAPES):
             label = F.when(piece.rlike(pattern), name).otherwise(label)
-        return F.when(piece.rlike(P.ENTITY_HINT), label)
+        address = F.when(
+            piece.startswith("http") & piece.rlike(dict(P.ENTITY_SHAPES)["URL"]), "URL"
+        ).when(piece.contains("@"), "EMAIL")
+        digit = starts_digit(piece) | ((piece >= "\x80") & piece.rlike(r"^\p{Nd}"))
+        return (
+            F.when(starts_letter(piece), address)
+            .when(F.length(piece) == 1, F.when(digit, "NUMBER"))
+            .otherwise(F.when(piece.rlike(P.ENTITY_HINT), label))
+        )
 
     def _hits(self, cut: Column) -> Column:
         """At most one hit per piece, in text order, overlaps not yet resolved."""
@@ -123,35 +133,57 @@ class EntityMatcher:
         return let(hits, resolve)
 
     def has_entity(self, text: Column) -> Column:
-        return let(pieces(text), lambda cut: F.size(self._hits(cut)) > 0)
+        return F.size(self._hits_of(text)) > 0
+
+    def _hits_of(self, text: Column) -> Column:
+        return let(pieces(text), self._hits)
 
     def entities(self, text: Column) -> Column:
         """Array of (text, label, start, end); offsets count code points, end exclusive."""
+        return F.when(text.isNotNull(), let(pieces(text), self.entities_in))
+
+    def entities_in(self, cut: Column) -> Column:
+        """The same from the pieces of a text."""
 
-        def located(cut: Column, hits: Column) -> Column:
-            ends = scan(cut, F.lit(0), lambda total, p: total + F.length(p), "int")
+        def joined(start: Column, count: Column) -> Column:
+            return F.array_join(F.slice(cut, start + 1, count), "")
+
+        def advance(state: Column, hit: Column) -> Column:
+            """Step over the pieces up to the hit, then over the hit."""
+            gap = F.length(joined(state["next"], hit["at"] - state["next"]))
             return let(
-                ends,
-                lambda e: F.transform(
-                    hits,
-                    lambda h: F.struct(
-                        F.array_join(F.slice(cut, h["at"] + 1, h["span"]), "").alias("text"),
-                        h["label"].alias("label"),
-                        F.when(h["at"] == 0, 0).otherwise(F.get(e, h["at"] - 1)).alias("start"),
-                        F.get(e, h["at"] + h["span"] - 1).alias("end"),
-                    ),
+                joined(hit["at"], hit["span"]),
+                lambda found: F.struct(
+                    (hit["at"] + hit["span"]).alias("next"),
+                    (state["end"] + gap).alias("start"),
+                    (state["end"] + gap + F.length(found)).alias("end"),
+                    found.alias("text"),
                 ),
             )
 
-        def found(cut: Column) -> Column:
-            return let(
-                self._without_overlaps(self._hits(cut)),
-                lambda hits: F.when(
-                    F.size(hits) > 0, located(cut, hits).cast(_ENTITY)
-                ).otherwise(F.array().cast(_ENTITY)),
+        def located(hits: Column) -> Column:
+            zero = F.struct(
+                F.lit(0).alias("next"), F.lit(0).alias("start"), F.lit(0).alias("end"),
+                F.lit("").alias("text"),
+            )
+            places = scan(
+                hits, zero, advance, "struct<next:int,start:int,end:int,text:string>"
             )
+            return F.zip_with(
+                hits,
+                places,
+                lambda h, p: F.struct(
+                    p["text"].alias("text"), h["label"].alias("label"),
+                    p["start"].alias("start"), p["end"].alias("end"),
+                ),
+            ).cast(_ENTITY)
+
+        def found(hits: Column) -> Column:
+            return F.when(
+                F.size(hits) > 0, let(self._without_overlaps(hits), located)
+            ).otherwise(F.array().cast(_ENTITY))
 
-        return F.when(text.isNotNull(), let(pieces(text), found))
+        return let(self._hits(cut), found)
 
 
 def _phrase_parts(phrases: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import QUALITY_DIMENSIONS, QualityConfig
 from ..functions.text import named, two_decimals
 from ..operators.profile import stack, validate
-from ..sources.readers import read_dataset
+from ..sources.readers import read_dataset, spread
 from ..sources.writers import write_table
 
 
@@ -108,7 +108,7 @@ def write_report(report: DataFrame, out: str) -> None:
 def analyze_dataset(spark: SparkSession, uri: str, config: QualityConfig = QualityConfig(),
                     out: str | None = None, **options) -> DataFrame:
     """Read a dataset and report on it; written below ``out`` when that is given."""
-    report = quality_report(read_dataset(spark, uri), uri, config, **options)
+    report = quality_report(spread(read_dataset(spark, uri)), uri, config, **options)
     if out is not None:
         write_report(report, out)
     return report

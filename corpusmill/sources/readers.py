@@ -139,6 +139,19 @@ def read_dataset(spark: SparkSession, uri: str, fmt: str | None = None,
     raise UnsupportedFormat(f"unsupported file format: {fmt}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table of few input splits to all cores.
+
+    Text work costs far more than reading. A file that is not split (one row group,
+    a multi-line document) would keep one core busy; a large table has more splits
+    than the cluster has cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 # Fixed value: a string column whose texts are longer than this on average is text.
 MIN_AVERAGE_LENGTH = 10
 
