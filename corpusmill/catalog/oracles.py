@@ -564,7 +564,7 @@ FROM seeded s JOIN feeling f ON s.doc_id = f.doc_id
 LEFT JOIN (SELECT doc_id, count(*) AS n_entities FROM entity GROUP BY doc_id) n ON s.doc_id = n.doc_id
 LEFT JOIN (SELECT doc_id, count(*) AS n_topics FROM topic GROUP BY doc_id) t ON s.doc_id = t.doc_id
 <joins>
-WHERE s.text IS NOT NULL AND {strip('s.text')} <> ''"""
+WHERE s.text IS NOT NULL"""
 
 
 def summary(language: str, more: str = "", joins: str = "") -> str:

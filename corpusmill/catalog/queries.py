@@ -525,11 +525,12 @@ def rule_date_order(spark, folder):
 
 @query
 def ann_tokens(spark, folder):
-    return seeded_texts(spark, folder).select(
+    docs = seeded_texts(spark, folder).where(F.col("text").isNotNull())
+    return docs.select("doc_id", tokens(F.col("text")).alias("t")).select(
         "doc_id",
-        F.size(tokens(F.col("text"))).cast("bigint").alias("n_tokens"),
-        F.array_join(tokens(F.col("text")), JOINER).alias("tokens"),
-    ).where(F.col("tokens").isNotNull())
+        F.size("t").cast("bigint").alias("n_tokens"),
+        F.array_join("t", JOINER).alias("tokens"),
+    )
 
 
 @query
@@ -542,7 +543,9 @@ def ann_sentences(spark, folder):
 @query
 def ann_pos_tags(spark, folder):
     tagged = pos_tags(seeded_texts(spark, folder), "text")
-    return tagged.select("doc_id", F.inline("pos_tags")).groupBy("doc_id", "pos").agg(
+    # Not the bare column: Spark would infer a filter on it and compute it twice.
+    listed = F.coalesce("pos_tags", F.array().cast("array<struct<token:string,pos:string>>"))
+    return tagged.select("doc_id", F.inline(listed)).groupBy("doc_id", "pos").agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -613,7 +616,9 @@ def ann_sentiment_ml(spark, folder):
 @query
 def ann_topics(spark, folder):
     found = topics(seeded_texts(spark, folder), "text", gazetteer(spark, folder))
-    return found.select("doc_id", F.posexplode("topics").alias("position", "topic")).select(
+    # Not the bare column: Spark would infer a filter on it and compute it twice.
+    listed = F.coalesce(F.col("topics"), F.array().cast("array<string>"))
+    return found.select("doc_id", F.posexplode(listed).alias("position", "topic")).select(
         "doc_id", F.col("position").cast("bigint").alias("position"), "topic"
     )
 
@@ -676,13 +681,13 @@ def _annotation_summary(df: DataFrame, with_keywords: bool) -> DataFrame:
         columns.append(
             F.array_join(F.transform(f"{a}.keywords", lambda k: k["text"]), JOINER).alias("keywords")
         )
-    return df.where(F.col(a).isNotNull()).select(*columns)
+    return df.select(*columns)
 
 
 @query
 def annotate_text(spark, folder):
     """Everything that needs no corpus: one narrow projection."""
-    docs = seeded_texts(spark, folder)
+    docs = seeded_texts(spark, folder).where(F.col("text").isNotNull())
     config = AnnotationConfig(enable_keywords=False)
     return _annotation_summary(
         annotate(docs, "text", config, gazetteer=gazetteer(spark, folder)), False
@@ -691,7 +696,7 @@ def annotate_text(spark, folder):
 
 @query
 def annotate_batch(spark, folder):
-    docs = seeded_texts(spark, folder)
+    docs = seeded_texts(spark, folder).where(F.col("text").isNotNull())
     annotated = annotate(
         docs, "text", AnnotationConfig(), row_key="doc_id", gazetteer=gazetteer(spark, folder),
         language_model=_language_model(spark, folder),

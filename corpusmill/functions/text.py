@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
@@ -20,6 +20,17 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(P.WS_CHARS))
 
 
+def keep_rows(df: DataFrame, condition: Callable[[Column], Column]) -> DataFrame:
+    """Rows whose struct of columns meets ``condition``, each column computed once.
+
+    A filter would be pushed below the projection that computes its columns, and the
+    optimizer would put their whole expressions in place of each reference. A
+    generator is no filter.
+    """
+    row = F.struct(*[named(c) for c in df.columns])
+    return df.select(F.inline(F.filter(F.array(row), condition)))
+
+
 def parse_time(text: Column) -> Column:
     """A timestamp from ISO text, or from year/month/day or month/day/year; null for
     anything else."""

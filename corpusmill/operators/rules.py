@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from ..config import SpecialCharacterConfig
 from ..functions import patterns as P
 from ..functions.scoring import is_checkable_text, special_character_ratio, without_markup
-from ..functions.text import named, parse_time, two_decimals
-from .language import LanguageModel
+from ..functions.text import keep_rows, named, parse_time, two_decimals
+from .language import LanguageModel, has_trigrams
 
 SNIPPET_CHARS = 50
 
@@ -102,8 +102,9 @@ class SpecialCharacterRule(Rule):
         )
 
     def issues(self, df: DataFrame, row_key: str | None = None) -> DataFrame:
-        high = self._ratios(df, row_key).where(
-            F.col("ratio") > self.config.max_special_char_ratio
+        high = keep_rows(
+            self._ratios(df, row_key),
+            lambda row: row["ratio"] > self.config.max_special_char_ratio,
         )
         message = F.concat(
             F.lit("High special character ratio ("),
@@ -149,18 +150,16 @@ class LanguageConsistencyRule(Rule):
 
     def detected(self, df: DataFrame, row_key: str | None = None) -> DataFrame:
         """(row_key, column, text, language, confidence) of every text with a language."""
-        texts = _texts(df, row_key).where(is_checkable_text(F.col("text"), self.min_chars))
-        return (
-            self.model.detect(texts, "text", "_found")
-            .select("row_key", "column", "text", "_found.*")
-            .where(F.col("language").isNotNull())
+        texts = _texts(df, row_key).where(
+            is_checkable_text(F.col("text"), self.min_chars) & has_trigrams(F.col("text"))
         )
-
-    def _foreign(self) -> Column:
-        return (F.col("language") != self.primary_language) & (
-            F.col("confidence") > self.min_confidence
+        return self.model.detect(texts, "text", "_found").select(
+            "row_key", "column", "text", "_found.*"
         )
 
+    def _foreign(self, language: Column, confidence: Column) -> Column:
+        return (language != self.primary_language) & (confidence > self.min_confidence)
+
     def issues(self, df: DataFrame, row_key: str | None = None) -> DataFrame:
         message = F.concat(
             F.lit("Text detected as "),
@@ -171,9 +170,11 @@ class LanguageConsistencyRule(Rule):
             F.substring("text", 1, SNIPPET_CHARS),
             F.lit("..."),
         )
-        rows = self.detected(df, row_key).where(self._foreign()).select(
-            *self._issue(F.col("column"), F.col("row_key"), message)
+        foreign = keep_rows(
+            self.detected(df, row_key),
+            lambda row: self._foreign(row["language"], row["confidence"]),
         )
+        rows = foreign.select(*self._issue(F.col("column"), F.col("row_key"), message))
         low = self.stats(df).where(F.col("primary_language_ratio") < self.threshold)
         column_message = F.concat(
             F.lit("Column "),
@@ -192,7 +193,9 @@ class LanguageConsistencyRule(Rule):
                 "primary_language_ratio"
             ),
             F.sort_array(F.collect_set("language")).alias("detected_languages"),
-            F.count_if(self._foreign()).alias("violations"),
+            F.count_if(self._foreign(F.col("language"), F.col("confidence"))).alias(
+                "violations"
+            ),
         )
 
 
