@@ -156,7 +156,9 @@ def timeliness_parts(f: T.StructField | None, as_of, config: QualityConfig) -> P
         when = parse_time(when)
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     age_days = (F.unix_micros(now) - F.unix_micros(when.cast("timestamp"))) / F.lit(86_400_000_000)
-    fresh = 1.0 - F.least(F.greatest(age_days / config.max_data_age_days, F.lit(0.0)), F.lit(1.0))
+    aged = F.least(F.greatest(age_days / config.max_data_age_days, F.lit(0.0)), F.lit(1.0))
+    # least and greatest pass over nulls; a value that is no time has no freshness.
+    fresh = F.when(age_days.isNotNull(), 1.0 - aged)
     return Parts(
         F.coalesce(F.col("freshness"), F.lit(1.0)),
         [_n_rows(), F.avg(fresh).alias("freshness")],

@@ -103,8 +103,11 @@ def _is_column_oriented(schema: T.StructType) -> bool:
 
 
 def read_json(spark: SparkSession, uri: str, schema: T.StructType | None = None) -> DataFrame:
-    """One JSON document per file: a list of records, a record, or columns of cells."""
-    reader = spark.read.option("multiLine", True)
+    """One JSON document per file: a list of records, a record, or columns of cells.
+
+    A malformed document is an error, not a row of nulls.
+    """
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is not None:
         return reader.schema(schema).json(uri)
     raw = reader.json(uri)
@@ -130,8 +133,8 @@ def read_dataset(spark: SparkSession, uri: str, fmt: str | None = None,
     if fmt == "json":
         return read_json(spark, uri, schema)
     if fmt == "jsonl":
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.json(uri)
+        reader = spark.read.option("mode", "FAILFAST")
+        return (reader if schema is None else reader.schema(schema)).json(uri)
     if fmt == "txt":
         return spark.read.text(uri).withColumnRenamed("value", "text")
     if fmt == "parquet":
