@@ -189,15 +189,18 @@ def end_to_end(spark, folder):
 
 @query
 def snk_annotated(spark, folder):
-    path = scratch_path(spark, "annotated")
-    config = AnnotationConfig(enable_keywords=False)
+    """A JSON-lines dataset, annotated and written in its own format, read back."""
+    root = scratch_path(spark, "annotate")
     docs = seeded_texts(spark, folder)
-    writers.write_table(annotate(docs, "text", config), path, "jsonl")
-    schema = annotate(docs, "text", config).schema
-    return spark.read.schema(schema).json(path).select(
+    writers.write_table(docs, f"{root}/docs.jsonl", "jsonl")
+    config = AnnotationConfig(enable_keywords=False)
+    processing.annotate_dataset(spark, f"{root}/docs.jsonl", f"{root}/annotated.jsonl", config)
+    return readers.read_dataset(spark, f"{root}/annotated.jsonl").select(
         "doc_id",
         F.col("text_annotations.sentiment.label").alias("sentiment"),
-        F.size("text_annotations.entities").cast("bigint").alias("n_entities"),
+        F.when(
+            F.col("text_annotations").isNotNull(), F.size("text_annotations.entities")
+        ).cast("bigint").alias("n_entities"),
         F.col("text_annotations.instruction.is_instruction").alias("is_instruction"),
     )
 

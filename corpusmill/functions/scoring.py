@@ -10,16 +10,15 @@ from . import patterns as P
 from .text import strip
 
 
-def share_matching(text: Column, pattern: str) -> Column:
-    """Characters matched by ``pattern`` over all characters, 0 for ''."""
-    total = F.length(text)
-    left = F.length(F.regexp_replace(text, pattern, ""))
-    return F.coalesce(F.try_divide(total - left, total), F.lit(0.0))
+def share_special(text: Column, ordinary: str) -> Column:
+    """Characters outside of the runs of ``ordinary`` over all characters, 0 for ''."""
+    special = F.length(F.regexp_replace(text, ordinary, ""))
+    return F.coalesce(F.try_divide(special, F.length(text)), F.lit(0.0))
 
 
 def text_quality(text: Column, config: QualityConfig = QualityConfig()) -> Column:
     """1.0 less fixed factors for special characters, shortness and repetition."""
-    special = F.when(share_matching(text, P.ASCII_SPECIAL) > 0.3, 0.7).otherwise(1.0)
+    special = F.when(share_special(text, P.ASCII_ORDINARY) > 0.3, 0.7).otherwise(1.0)
     short = F.when(F.length(text) < config.text_length_threshold, 0.8).otherwise(1.0)
     repeats = F.when(text.rlike(P.REPEATED_CHAR), 0.9).otherwise(1.0)
     return F.when(text.isNotNull(), special * short * repeats)
@@ -35,15 +34,15 @@ def without_markup(text: Column, config: SpecialCharacterConfig = SpecialCharact
     return text
 
 
-def special_character_pattern(config: SpecialCharacterConfig = SpecialCharacterConfig()) -> str:
+def ordinary_pattern(config: SpecialCharacterConfig = SpecialCharacterConfig()) -> str:
     allowed = "".join("\\" + c for c in config.allowed_special_chars if not c.isalnum())
-    return rf"[^\p{{L}}\p{{N}}{P.WS}{allowed}]+"
+    return rf"[\p{{L}}\p{{N}}{P.WS}{allowed}]+"
 
 
 def special_character_ratio(
     stripped: Column, config: SpecialCharacterConfig = SpecialCharacterConfig()
 ) -> Column:
-    return share_matching(stripped, special_character_pattern(config))
+    return share_special(stripped, ordinary_pattern(config))
 
 
 def is_checkable_text(text: Column, min_chars: int = 10) -> Column:

@@ -47,7 +47,8 @@ def distinct_counts(
         digests.append(entry)
     keys = [named(b) for b in by]
     flat = (
-        df.select(*keys, F.inline(F.array_compact(F.array(*digests))))
+        df.select(*keys, F.inline(F.array(*digests)))
+        .where(F.col("slot").isNotNull())
         .distinct()
         .groupBy(*keys)
         .agg(*[F.count_if(F.col("slot") == s).alias(_alias(s)) for s in slots])

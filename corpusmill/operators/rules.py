@@ -245,10 +245,12 @@ class DataFormatRule(Rule):
                     ),
                 )
             )
-        listed = F.array_compact(F.array(*entries)) if entries else F.array().cast(
+        listed = F.array(*entries) if entries else F.array().cast(
             "array<struct<column:string,format_type:string,value:string>>"
         )
-        return df.select(_key(row_key).alias("row_key"), F.inline(listed))
+        return df.select(_key(row_key).alias("row_key"), F.inline(listed)).where(
+            F.col("column").isNotNull()
+        )
 
     def stats(self, df: DataFrame) -> DataFrame:
         """(column, format_type, invalid_count), only columns with invalid values."""
@@ -389,3 +391,11 @@ def date_order_violation(start: str = "start_date", end: str = "end_date") -> Co
     return F.coalesce(
         parse_time(named(start)) > parse_time(named(end)), F.lit(False)
     )
+
+
+def all_issues(df: DataFrame, rules: list[Rule], row_key: str | None = None) -> DataFrame:
+    """The issues of several rules in one table."""
+    result = rules[0].issues(df, row_key)
+    for rule in rules[1:]:
+        result = result.unionByName(rule.issues(df, row_key))
+    return result

@@ -139,3 +139,8 @@ class NoEmptyText(rules.Rule):
 def test_rules_can_be_added(spark):
     result = NoEmptyText().validate(spark.createDataFrame([("",), ("a",)], "text string"))
     assert not passed(result) and result.stats.first().violations == 1
+    both = rules.all_issues(
+        spark.createDataFrame([("",), ("@#%^@#%^",)], "text string"),
+        [NoEmptyText(), rules.SpecialCharacterRule()],
+    )
+    assert sorted(r.rule for r in both.collect()) == ["No empty text", "Special Character Validation"]

@@ -3,7 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.plans.processing import process_datasets
+from corpusmill.config import AnnotationConfig
+from corpusmill.operators.annotate import annotate
+from corpusmill.plans.processing import annotate_dataset, process_datasets
 from corpusmill.plans.reports import analyze_dataset, quality_report, report_lines
 from corpusmill.sources import readers, writers
 from corpusmill.sources.listing import list_datasets
@@ -109,3 +111,19 @@ def test_stream_equals_batch(spark, tmp_path):
     write_available(clean_stream(stream, "t"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 20 and got.where(F.col("t").contains("regards")).count() == 0
+
+
+def test_annotated_dataset_keeps_format_and_rows(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('n,t\n1,"Microsoft is good news"\n2,NA\n3,"other words here"\n')
+    columns = annotate_dataset(spark, str(path), str(tmp_path / "annotated_a.csv"))
+    assert columns == ["t"]
+    rows = readers.read_csv(spark, str(tmp_path / "annotated_a.csv")).orderBy("n").collect()
+    first = json.loads(rows[0].t_annotations)
+    assert first["entities"][0]["text"] == "Microsoft" and rows[1].t_annotations is None
+    assert {k["text"] for k in first["keywords"]} == {"Microsoft", "good", "news"}
+
+
+def test_numbers_have_no_annotation(spark):
+    df = annotate(spark.createDataFrame([(1, 5)], "id int, x int"), "x", AnnotationConfig())
+    assert df.columns == ["id", "x", "x_annotations"] and df.first().x_annotations is None
