@@ -16,13 +16,13 @@ RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def profile_of(name: str):
-    return lambda spark, folder: pr.validate(q.readers.spread(q.table(spark, folder, name)))
+    return lambda spark, folder: pr.validate(q.table(spark, folder, name))
 
 
 HEADLINE = {
     "clean_and_gate": q.QUERIES["clean_batch"],
     "corpus_overview": q.QUERIES["corpus_overview"],
-    "profile_documents": profile_of("documents"),
+    "profile_documents": lambda spark, folder: pr.validate(q.documents(spark, folder)),
     "profile_events": profile_of("events"),
     "profile_lineitem": profile_of("lineitem"),
     "special_characters": q.QUERIES["rule_special_chars_stats"],
