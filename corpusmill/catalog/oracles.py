@@ -681,9 +681,8 @@ ORACLES = {
       || ' invalid format values' AS message FROM invalid GROUP BY "column", format_type""",
     "rule_format_examples": f"""{INVALID} SELECT "column", format_type, position, value FROM (
       SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY doc_id, value) AS position FROM invalid) WHERE position <= 5""",
-    "rule_format_urls": r"""SELECT 'url' AS "column", 'url' AS format_type, count(*) AS invalid_count FROM pages
-      WHERE NOT regexp_matches(url, '^https?:\/\/(?:www\.)?[-a-zA-Z0-9@:%._\+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b(?:[-a-zA-Z0-9()@:%_\+.~#?&\/=]*)$')
-      HAVING count(*) > 0""",
+    "rule_format_custom": r"""SELECT 'url' AS "column", 'url' AS format_type, count(*) AS invalid_count FROM pages
+      WHERE contains(url, '?') OR NOT regexp_matches(url, '^https?://') HAVING count(*) > 0""",
     "rule_cross_field": """WITH joined AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
       SELECT 'o_orderdate+l_shipdate' AS "column", 'Found ' || count(*) || ' violations of: ordered after shipping' AS message
       FROM joined WHERE o_orderdate > l_shipdate HAVING count(*) > 0

@@ -494,9 +494,10 @@ def rule_format_examples(spark, folder):
 
 
 @query
-def rule_format_urls(spark, folder):
-    """Every page address against the URL format: (column, invalid_count), if any."""
-    return rules.DataFormatRule().stats(table(spark, folder, "pages").select("page_id", "url"))
+def rule_format_custom(spark, folder):
+    """Page addresses against a format of our own: no query string."""
+    rule = rules.DataFormatRule({"url": r"(?d)^https?://[^?]+$"})
+    return rule.stats(table(spark, folder, "pages").select("page_id", "url"))
 
 
 @query

@@ -186,25 +186,18 @@ class EntityMatcher:
         return let(self._hits(cut), found)
 
 
-def _phrase_parts(phrases: DataFrame) -> DataFrame:
-    """Phrases with their first piece and their number of pieces."""
-    cut = pieces(F.col("phrase"))
-    return phrases.select(
-        "phrase", "label", F.get(cut, F.lit(0)).alias("first"), F.size(cut).alias("span")
-    )
-
-
 def literal_matcher(gazetteer: dict, spark) -> EntityMatcher:
     """A matcher for a gazetteer small enough to be part of the expression."""
     if not gazetteer:
         return EntityMatcher(LiteralLookup({}), None, [], F.array().cast("array<int>"))
-    table = spark.createDataFrame(sorted(gazetteer.items()), "phrase string, label string")
-    parts = _phrase_parts(table).collect()
-    spans = sorted({p.span for p in parts}, reverse=True)
+    # Spark cuts the phrases, so that they end where the pieces of a text end.
+    phrases = F.array(*[F.lit(p) for p in sorted(gazetteer)])
+    cuts = spark.range(1).select(F.transform(phrases, pieces)).first()[0]
+    spans = sorted({len(cut) for cut in cuts}, reverse=True)
     return EntityMatcher(
         LiteralLookup(gazetteer),
         None,
-        sorted({p.first for p in parts}),
+        sorted({cut[0] for cut in cuts}),
         F.array(*[F.lit(n) for n in spans]),
     )
 
