@@ -130,7 +130,13 @@ class EntityMatcher:
                 ),
             )
 
-        return let(hits, resolve)
+        # Hits of one piece each cannot overlap.
+        return let(
+            hits,
+            lambda found: F.when(
+                F.exists(found, lambda h: h["span"] > 1), resolve(found)
+            ).otherwise(found),
+        )
 
     def has_entity(self, text: Column) -> Column:
         return F.size(self._hits_of(text)) > 0
@@ -148,36 +154,32 @@ class EntityMatcher:
         def joined(start: Column, count: Column) -> Column:
             return F.array_join(F.slice(cut, start + 1, count), "")
 
-        def advance(state: Column, hit: Column) -> Column:
-            """Step over the pieces up to the hit, then over the hit."""
-            gap = F.length(joined(state["next"], hit["at"] - state["next"]))
-            return let(
-                joined(hit["at"], hit["span"]),
-                lambda found: F.struct(
-                    (hit["at"] + hit["span"]).alias("next"),
-                    (state["end"] + gap).alias("start"),
-                    (state["end"] + gap + F.length(found)).alias("end"),
-                    found.alias("text"),
-                ),
-            )
-
-        def located(hits: Column) -> Column:
-            zero = F.struct(
-                F.lit(0).alias("next"), F.lit(0).alias("start"), F.lit(0).alias("end"),
-                F.lit("").alias("text"),
-            )
-            places = scan(
-                hits, zero, advance, "struct<next:int,start:int,end:int,text:string>"
+        def placed(parts: Column) -> Column:
+            """Offsets are running totals of what lies between and in the hits."""
+            ends = scan(
+                parts, F.lit(0), lambda end, p: end + p["gap"] + F.length(p["text"]), "int"
             )
             return F.zip_with(
-                hits,
-                places,
-                lambda h, p: F.struct(
-                    p["text"].alias("text"), h["label"].alias("label"),
-                    p["start"].alias("start"), p["end"].alias("end"),
+                parts,
+                ends,
+                lambda p, end: F.struct(
+                    p["text"].alias("text"), p["label"].alias("label"),
+                    (end - F.length(p["text"])).alias("start"), end.alias("end"),
                 ),
             ).cast(_ENTITY)
 
+        def located(hits: Column) -> Column:
+            def part(hit: Column, i: Column) -> Column:
+                last = F.get(hits, i - 1)
+                free = F.when(i == 0, F.lit(0)).otherwise(last["at"] + last["span"])
+                return F.struct(
+                    joined(hit["at"], hit["span"]).alias("text"),
+                    hit["label"].alias("label"),
+                    F.length(joined(free, hit["at"] - free)).alias("gap"),
+                )
+
+            return let(F.transform(hits, part), placed)
+
         def found(hits: Column) -> Column:
             return F.when(
                 F.size(hits) > 0, let(self._without_overlaps(hits), located)
