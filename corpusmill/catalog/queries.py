@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import AnnotationConfig, CleaningConfig, QualityConfig
+from ..config import AnnotationConfig
 from ..functions import cleaning, gates, scoring
 from ..functions.instructions import command_words, instruction
 from ..functions.text import named, sentences, tokens
@@ -21,7 +21,7 @@ from ..operators import rules
 from ..operators.annotate import annotate
 from ..operators.entities import DEFAULT_GAZETTEER, entities, entity_matcher
 from ..operators.integrity import integrity, orphans
-from ..operators.keywords import keywords, word_counts
+from ..operators.keywords import keywords
 from ..operators.language import LanguageModel
 from ..operators.sentiment import model_sentiment, sentiment, train_sentiment
 from ..operators.tagging import DEFAULT_TAGS, linguistic_annotation, pos_tags, sentence_annotations

@@ -51,17 +51,13 @@ def distinct_counts(
         .where(F.col("slot").isNotNull())
         .distinct()
         .groupBy(*keys)
-        .agg(*[F.count_if(F.col("slot") == s).alias(_alias(s)) for s in slots])
+        .agg(*[F.count_if(F.col("slot") == s).alias(distinct_alias(s)) for s in slots])
     )
     return flat
 
 
-def _alias(slot: int) -> str:
-    return "d_rows" if slot == ROWS else f"d{slot}"
-
-
 def distinct_alias(slot: int) -> str:
-    return _alias(slot)
+    return "d_rows" if slot == ROWS else f"d{slot}"
 
 
 def approximate_distinct_aggregates(slots: dict[int, list[T.StructField]]) -> list[Column]:
@@ -71,5 +67,5 @@ def approximate_distinct_aggregates(slots: dict[int, list[T.StructField]]) -> li
         one, _ = row_digest(fields)
         if slot != ROWS:
             one = F.when(named(fields[0].name).isNotNull(), one)
-        result.append(F.approx_count_distinct(one).alias(_alias(slot)))
+        result.append(F.approx_count_distinct(one).alias(distinct_alias(slot)))
     return result

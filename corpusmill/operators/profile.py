@@ -38,14 +38,6 @@ def columns_of(df: DataFrame, by=()) -> list[T.StructField]:
     return [f for f in df.schema.fields if f.name not in by]
 
 
-def text_fields(df: DataFrame, by=()) -> list[T.StructField]:
-    return [f for f in columns_of(df, by) if isinstance(f.dataType, T.StringType)]
-
-
-def numeric_fields(df: DataFrame, by=()) -> list[T.StructField]:
-    return [f for f in columns_of(df, by) if isinstance(f.dataType, T.NumericType)]
-
-
 def is_missing(f: T.StructField) -> Column:
     """Null, or NaN where the type has it."""
     missing = named(f.name).isNull()

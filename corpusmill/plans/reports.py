@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import QUALITY_DIMENSIONS, QualityConfig
 from ..functions.text import named, two_decimals
-from ..operators.profile import stack, validate
+from ..operators.profile import validate
 from ..sources.readers import read_dataset, spread
 from ..sources.writers import write_table
 

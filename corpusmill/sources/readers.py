@@ -125,11 +125,14 @@ def read_json(spark: SparkSession, uri: str, schema: T.StructType | None = None)
 
 
 def read_dataset(spark: SparkSession, uri: str, fmt: str | None = None,
-                 schema: T.StructType | None = None) -> DataFrame:
-    """Read by extension, or as ``fmt``. A text file is a table of lines, ``text``."""
+                 schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """Read by extension, or as ``fmt``. A text file is a table of lines, ``text``.
+
+    ``multi_line`` is that of ``read_csv``.
+    """
     fmt = fmt or format_of(uri)
     if fmt == "csv":
-        return read_csv(spark, uri, schema)
+        return read_csv(spark, uri, schema, multi_line)
     if fmt == "json":
         return read_json(spark, uri, schema)
     if fmt == "jsonl":

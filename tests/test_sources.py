@@ -25,6 +25,10 @@ def test_csv_cells_and_types(spark, tmp_path):
     assert [r.n for r in rows] == [1, None, -3] and [r.x for r in rows] == [1.5, 2.0, 1000.0]
     assert [r.s for r in rows] == ['a "q" b', None, None] and rows[0].t == "two\nlines"
     assert {r.e for r in rows} == {None}
+    flat = tmp_path / "b.csv"
+    flat.write_text("n,t\n1,x\n2,NA\n")
+    rows = readers.read_dataset(spark, str(flat), multi_line=False).collect()
+    assert [(r.n, r.t) for r in rows] == [(1, "x"), (2, None)]
 
 
 def test_json_layouts(spark, tmp_path):
