@@ -20,6 +20,11 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(P.WS_CHARS))
 
 
+def is_blank(text: Column) -> Column:
+    """Nothing but whitespace; stops at the first other character."""
+    return ~text.rlike(f"[^{P.WS}]")
+
+
 def keep_rows(df: DataFrame, condition: Callable[[Column], Column]) -> DataFrame:
     """Rows whose struct of columns meets ``condition``, each column computed once.
 
