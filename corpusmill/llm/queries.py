@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, line_dedup
+from . import fingerprint, line_dedup, packing
 
+TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -22,6 +24,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_packing(spark, folder):
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
 @query
 def op4_fingerprints(spark, folder):
     return fingerprint.edited_fingerprints(table(spark, folder, "documents"))
