@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, line_dedup, packing
+from . import fingerprint, line_dedup, packing, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ def op1_packing(spark, folder):
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op3_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op4_fingerprints(spark, folder):
     return fingerprint.edited_fingerprints(table(spark, folder, "documents"))
