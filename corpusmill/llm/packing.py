@@ -174,10 +174,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int
                     rows, columns=["doc", "piece", "start", "length", "ids_crc32", "part", "local"]
                 )
 
-    kind = docs.schema["doc"].dataType.simpleString()
-    return docs.select(F.col("doc").alias("at"), "text").mapInPandas(
+    # As text, since pandas has no whole numbers with nulls.
+    return docs.select(F.col("doc").cast("string").alias("at"), "text").mapInPandas(
         run,
-        f"doc {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, local bigint",
+        f"doc string, piece int, start bigint, length bigint, ids_crc32 bigint, part int, local bigint",
     )
 
 
@@ -196,11 +196,7 @@ def pack(
     ``capacity`` is cut; its first piece takes what is over. Sequences have no gaps. Each row
     is packed, repeated rows and null ids too. An empty table gives an empty table.
     """
-    kind = dict(docs.dtypes)[key]
-    source = keyed_texts(docs, key, text).withColumn(
-        "doc", F.col("doc") if kind in ("bigint", "string") else F.to_json(F.struct("doc"))
-    )
-    pieces = saved(token_pieces(source, tokenizer, end_id, capacity), "pieces")
+    pieces = saved(token_pieces(keyed_texts(docs, key, text), tokenizer, end_id, capacity), "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     offsets = by_part.selectExpr(
         "length",
@@ -230,7 +226,7 @@ def pack(
     placed = ranked.join(F.broadcast(per_length), F.col("length") == F.col("run_length")).withColumn("run", run)
     nth = F.col("rank") - F.col("run.run_rank")
     return placed.select(
-        F.col("doc").alias(key),
+        F.col("doc").cast(docs.schema[key].dataType).alias(key),
         "piece",
         "start",
         "length",

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, line_dedup, packing, toxicity
+from . import fingerprint, line_dedup, minhash, packing, secret_scan, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,34 @@ def op4_fingerprints(spark, folder):
     return fingerprint.edited_fingerprints(table(spark, folder, "documents"))
 
 
+@query
+def op5_secrets(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs)
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def only(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = [rule.kind for rule in secret_scan.BASE_RULES]
+    return found.select(
+        "doc_id",
+        *[F.size(only(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(listed(only(*base)), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op8_near_duplicates(spark, folder):
+    docs = table(spark, folder, "documents")
+    return minhash.near_duplicates(docs, width=3, percent=85).drop("id_hash", "version")
+
+
 @query
 def op10_line_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
