@@ -113,7 +113,7 @@ def as_text(print_: Column) -> Column:
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """(id_hash, version, need, next_*, user_*) for each distinct (doc, text) row: the row after it,
+    """(doc, id_hash, version, next_*, user_*) for each distinct (doc, text) row: the row after it,
     the row before it, and what they need.
 
     Rows are ordered by id, then by a hash of their text (``version``); the first follows the
@@ -150,6 +150,7 @@ def successors(docs: DataFrame) -> DataFrame:
         .withColumn("follower", F.coalesce("follower", "after"))
         .withColumn("user", F.coalesce("user", "before"))
         .select(
+            "doc",
             "id_hash",
             "version",
             F.col("follower.id_hash").alias("next_id_hash"),
@@ -178,6 +179,8 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         {"id_hash": F.xxhash64("doc"), "version": F.xxhash64("text")}
     )
     order = saved(successors(source), "order")
+    # Both uses of ``met`` read the same columns of ``source``, so they share its shuffle.
+    source = source.drop("doc")
     met = source.join(order.hint("shuffle_hash"), row_key)
     heads = met.select(
         F.col("user_id_hash").alias("id_hash"),
