@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, line_dedup, minhash, packing, secret_scan, toxicity
+from . import decontaminate, fingerprint, line_dedup, minhash, packing, secret_scan, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,12 @@ def op5_secrets(spark, folder):
     )
 
 
+@query
+def op6_decontamination(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, folder, "benchmark")).drop("id_hash", "version")
+
+
 @query
 def op8_near_duplicates(spark, folder):
     docs = table(spark, folder, "documents")
