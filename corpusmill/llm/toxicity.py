@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from .common import free_name, keyed_texts, saved
 
 ORDER = 5
 OWN_ORDER = 3
-BITS = 20
+BITS = 19
 DISCOUNT = 0.75
 WINDOW = 10
 STRONG = 2.5
@@ -82,7 +83,6 @@ class ToxicityModel:
 
     share: dict[int, np.ndarray]
     rest: dict[int, np.ndarray]
-    weights: tuple[float, ...] = (0.0,) * (N_FEATURES + 1)
 
     def ratios(self, words: list[str]) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) of each word."""
@@ -128,8 +128,8 @@ class ToxicityModel:
                 ]
         return out
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
-        z = self.features(texts) @ np.array(self.weights[:-1]) + self.weights[-1]
+    def score(self, texts: list[str | None], weights: tuple[float, ...]) -> np.ndarray:
+        z = self.features(texts) @ np.array(weights[:-1]) + weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -151,6 +151,7 @@ def _corpus_grams(texts: DataFrame) -> DataFrame:
     by bucket, with the bucket of the gram without its first and without its last character."""
 
     def run(batches):
+        seen = np.zeros((OWN_ORDER + 1, _BUCKETS), dtype=bool)  # what this task has told already
         for batch in batches:
             column = list(batch["text"])
             for start, stop in _portions(column):
@@ -159,11 +160,18 @@ def _corpus_grams(texts: DataFrame) -> DataFrame:
                     continue
                 grams = Grams(kinds)
                 for order in range(2, OWN_ORDER + 1):
-                    rows = np.stack(
-                        [grams.gram(order), grams.gram(order - 1), grams.context(order - 1)], axis=1
+                    bucket = grams.gram(order)
+                    fresh = ~seen[order][bucket]
+                    longer, first = np.unique(bucket[fresh], return_index=True)
+                    seen[order][longer] = True
+                    yield pd.DataFrame(
+                        {
+                            "longer": longer,
+                            "gram": grams.gram(order - 1)[fresh][first],
+                            "context": grams.context(order - 1)[fresh][first],
+                            "order": order - 1,
+                        }
                     )
-                    rows = np.unique(rows, axis=0)
-                    yield pd.DataFrame(rows, columns=["longer", "gram", "context"]).assign(order=order - 1)
 
     return texts.select("text").mapInPandas(run, "longer bigint, gram bigint, context bigint, order int").distinct()
 
@@ -225,13 +233,15 @@ def _labelled_texts(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.join(chosen, "doc").select("text", "toxic", "draw")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> ToxicityModel:
-    """A model from (doc, text) ``docs``, all of which feed the backoff counts, and (doc, toxic)
+def fit(
+    docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
+) -> tuple[Broadcast, tuple[float, ...]]:
+    """A model, broadcast, and its weights, from (doc, text) ``docs``, all of which feed the backoff counts, and (doc, toxic)
     ``labels``.
 
     The texts of at most ``max_labelled`` labelled ids, those of the smallest hash, serve
     the two classes; every fifth id calibrates the weights. Without calibration rows of both
-    classes the weights stay 0 and every score is a hair less than a half.
+    classes the weights are 0 and every score is a hair less than a half.
     """
     sample = saved(_labelled_texts(docs, labels, max_labelled), "labelled")
     fold = F.pmod("draw", F.lit(5))
@@ -252,8 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         rows = own_rows[own_rows["order"] == order]
         both = [_discounted(rows, n) for n in ("n0", "n1")]
         share[order], rest[order] = (np.stack([b[i] for b in both]) for i in (0, 1))
-    model = ToxicityModel(share, rest)
-    handed = docs.sparkSession.sparkContext.broadcast(model)
+    handed = docs.sparkSession.sparkContext.broadcast(ToxicityModel(share, rest))
 
     def measure(batches):
         for batch in batches:
@@ -263,8 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 
     fields = ", ".join(f"f{i} double" for i in range(N_FEATURES))
     seen = sample.where(fold == 0).select("text", "toxic").mapInPandas(measure, f"{fields}, toxic int")
-    model.weights = _weights(seen.toPandas())
-    return model
+    return handed, _weights(seen.toPandas())
 
 
 def _weights(seen: pd.DataFrame) -> tuple[float, ...]:
@@ -283,13 +291,14 @@ def _weights(seen: pd.DataFrame) -> tuple[float, ...]:
     return tuple(w / scale)
 
 
-def with_scores(docs: DataFrame, model: ToxicityModel, text: str, name: str) -> DataFrame:
+def with_scores(
+    docs: DataFrame, handed: Broadcast, weights: tuple[float, ...], text: str, name: str
+) -> DataFrame:
     """The input and a column ``name`` with the score of each whole text, from the text alone."""
-    handed = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(handed.value.score([t or "" for t in texts]))
+        return pd.Series(handed.value.score(list(texts), weights))
 
     return docs.withColumn(name, score(F.coalesce(named(text).cast("string"), F.lit(""))))
 
@@ -317,9 +326,9 @@ def score_documents(
     known = labels.select(F.col(key).alias("doc"), F.col(label).alias("toxic")).where(
         ~held_out(F.col("doc"))
     )
-    model = fit(keyed_texts(docs, key, text), known, max_labelled)
+    handed, weights = fit(keyed_texts(docs, key, text), known, max_labelled)
     score = free_name(docs, "score")
-    scored = with_scores(docs, model, text, score)
+    scored = with_scores(docs, handed, weights, text, score)
     return scored.select(
         *[named(c) for c in docs.columns],
         held_out(named(key)).alias(free_name(docs, "held_out")),
