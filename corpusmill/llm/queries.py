@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, line_dedup, minhash, packing, secret_scan, toxicity
+from . import decontaminate, fingerprint, line_dedup, minhash, packing, secret_scan, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,11 @@ def op8_near_duplicates(spark, folder):
     return minhash.near_duplicates(docs, width=3, percent=85).drop("id_hash", "version")
 
 
+@query
+def op9_warc(spark, folder):
+    return warc.archive_round_trip(spark, table(spark, folder, "pages"))
+
+
 @query
 def op10_line_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
