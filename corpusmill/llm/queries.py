@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, line_dedup, minhash, packing, secret_scan, toxicity, warc
+from . import decontaminate, fingerprint, line_dedup, minhash, packing, secret_scan, toxicity, url_filter, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,21 @@ def op6_decontamination(spark, folder):
     return decontaminate.contaminated(docs, table(spark, folder, "benchmark")).drop("id_hash", "version")
 
 
+URL_RULES = [
+    url_filter.UrlRule("block", "net", "/"),
+    url_filter.UrlRule("allow", "example.net", "/en/"),
+    url_filter.UrlRule("block", "example.com", "/de/"),
+    url_filter.UrlRule("allow", "org", "/fr/"),
+]
+
+
+@query
+def op7_url_filter(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.labelled_by_words(pages))
+    return url_filter.judge_urls(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op8_near_duplicates(spark, folder):
     docs = table(spark, folder, "documents")
