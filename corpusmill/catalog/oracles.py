@@ -578,9 +578,9 @@ ORACLES = {
       UNION ALL SELECT 'talks.jsonl', 'jsonl', count(*) > 0 FROM conversations""",
     "src_csv_scan": f"SELECT doc_id, {not_na('text')}, {not_na('lang')}, {not_na('source')}, n_chars FROM documents",
     "src_json_scan": "SELECT conv_id, turn, role, text FROM conversations",
-    "src_read_dataset": """SELECT format, (SELECT count(*) FROM documents) AS n_rows,
-      CASE format WHEN 'txt' THEN 1 ELSE 5 END::BIGINT AS n_columns
-      FROM (VALUES ('csv'), ('jsonl'), ('parquet'), ('txt')) AS v(format)""",
+    "src_read_dataset": """SELECT format, CASE WHEN format <> 'txt' THEN conv_id END AS conv_id,
+      CASE WHEN format <> 'txt' THEN turn END AS turn, role, CASE WHEN format <> 'txt' THEN text END AS text
+      FROM conversations, (VALUES ('csv'), ('json'), ('jsonl'), ('parquet'), ('txt')) AS v(format)""",
     "src_text_columns": f"WITH {SEEDED} " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", round(avg(length({c})), 6) AS average_length, avg(length({c})) > 10 AS is_text FROM seeded"
         for c in SEEDED_RELATION.text
@@ -595,12 +595,14 @@ ORACLES = {
         round(((1 - stddev_samp(length(o)) / avg(length(o))) + (1 - stddev_samp(length(c)) / avg(length(c)))) / 2, 6) AS consistency,
         round((count(o) + 2 * count(*)) / (3 * count(*)), 6) AS validity,
         round((SELECT count(*) FROM (SELECT DISTINCT o, c, h FROM triple)) / count(*), 6) AS uniqueness FROM triple""",
-    "snk_annotated": f"""WITH {SEEDED}, {entity_ctes('seeded', 'doc_id', FIXED_REGIONS)}, {SENTIMENT_CTES}
-      SELECT s.doc_id, CASE WHEN s.text IS NOT NULL THEN {FEELING_LABEL.replace('score', 'f.score')} END AS sentiment,
+    "snk_annotated": f"""WITH {SEEDED}, {entity_ctes('seeded', 'doc_id', FIXED_REGIONS)}, {SENTIMENT_CTES},
+      {keyword_ctes(False)}
+      SELECT format, s.doc_id, CASE WHEN s.text IS NOT NULL THEN {FEELING_LABEL.replace('score', 'f.score')} END AS sentiment,
         CASE WHEN s.text IS NOT NULL THEN coalesce(n.n_entities, 0) END AS n_entities,
-        {is_instruction('s.text')} AS is_instruction
-      FROM seeded s LEFT JOIN feeling f ON s.doc_id = f.doc_id
-      LEFT JOIN (SELECT doc_id, count(*) AS n_entities FROM entity GROUP BY doc_id) n ON s.doc_id = n.doc_id""",
+        {is_instruction('s.text')} AS is_instruction, coalesce(k.n_keywords, 0) AS n_keywords
+      FROM seeded s CROSS JOIN (VALUES ('json'), ('jsonl')) AS v(format) LEFT JOIN feeling f ON s.doc_id = f.doc_id
+      LEFT JOIN (SELECT doc_id, count(*) AS n_entities FROM entity GROUP BY doc_id) n ON s.doc_id = n.doc_id
+      LEFT JOIN (SELECT doc_id, count(*) AS n_keywords FROM keyword GROUP BY doc_id) k ON s.doc_id = k.doc_id""",
     "quality_report": f"""{SEEDED_PROFILE}, {VERDICT}
       SELECT 'documents' AS dataset, '20240131_000000' AS timestamp, passed, issues, {ROUNDED_PROFILE},
         (SELECT count(*) FROM seeded) AS n_rows, 8::BIGINT AS n_columns FROM verdict""",

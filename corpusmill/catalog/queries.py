@@ -49,7 +49,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return readers.spread(table(spark, folder, "documents"))
+    """The documents; their one file would keep one core busy, so they are dealt to all."""
+    return readers.spread(table(spark, folder, "documents"), spark.sparkContext.defaultParallelism)
 
 
 def seeded(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,29 +117,68 @@ def src_csv_scan(spark, folder):
     return rounded(readers.read_dataset(spark, path, "csv"))
 
 
+def _write_json_files(spark: SparkSession, folder: str, root: str) -> None:
+    """The conversations as JSON of all kinds: a third as records by line, a third as one array
+    over several lines in each file, a third as columns of cells."""
+    talks = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    share = F.pmod(F.col("conv_id"), F.lit(3))
+    writers.write_table(talks.where(share == 0), f"{root}/by_line.json", "json")
+    row = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    part = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(8))
+    (
+        talks.where(share == 1)
+        .groupBy(part.alias("part"))
+        .agg(F.collect_list(row).alias("rows"))
+        .select(F.concat(F.lit("[\n"), F.array_join("rows", ",\n"), F.lit("\n]\n")))
+        .write.text(f"{root}/array.json")
+    )
+    cells = F.sort_array(F.collect_list(F.struct("conv_id", "turn", "role", "text")))
+
+    def column(name: str) -> Column:
+        pairs = F.transform(F.col("rows"), lambda r, i: F.struct(i.cast("string"), r[name]))
+        return F.map_from_entries(pairs).alias(name)
+
+    (
+        talks.where(share == 2)
+        .groupBy(part.alias("part"))
+        .agg(cells.alias("rows"))
+        .select(F.to_json(F.struct(*[column(c) for c in ("conv_id", "turn", "role", "text")])))
+        .repartition(4)
+        .write.text(f"{root}/columns.json")
+    )
+
+
 @query
 def src_json_scan(spark, folder):
-    """Each record is one JSON document of a file of its own kind: a record per line
-    is written, and read as JSON."""
-    path = f"{scratch_path(spark, 'json')}/talks.jsonl"
-    writers.write_table(table(spark, folder, "conversations"), path, "jsonl")
-    return readers.read_dataset(spark, path).select("conv_id", "turn", "role", "text")
+    """JSON files of all kinds, several documents in some, read with all values."""
+    root = scratch_path(spark, "json")
+    _write_json_files(spark, folder, root)
+    found = [readers.read_dataset(spark, f"{root}/{kind}.json") for kind in ("by_line", "array", "columns")]
+    columns = ["conv_id", "turn", "role", "text"]
+    return found[0].select(columns).union(found[1].select(columns)).union(found[2].select(columns))
 
 
 @query
 def src_read_dataset(spark, folder):
-    """Rows and columns by format, each read through the dispatch."""
+    """All values of the conversations by format, each read through the dispatch; a text file has
+    the roles only."""
     root = scratch_path(spark, "formats")
-    docs = documents(spark, folder)
+    talks = table(spark, folder, "conversations")
     result = None
-    for fmt in ("csv", "jsonl", "parquet", "txt"):
-        path = f"{root}/docs.{fmt}"
-        source = docs.select(F.col("source").alias("value")) if fmt == "txt" else docs
+    for fmt in ("csv", "json", "jsonl", "parquet", "txt"):
+        path = f"{root}/talks.{fmt}"
+        source = talks.select(F.col("role").alias("value")) if fmt == "txt" else talks
         writers.write_table(source, path, fmt)
         df = readers.read_dataset(spark, path)
-        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(fmt).alias("format"), "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns")
-        )
+        if fmt == "txt":
+            row = df.select(
+                *[F.lit(None).cast("bigint").alias(c) for c in ("conv_id", "turn")],
+                F.col("text").alias("role"),
+                F.lit(None).cast("string").alias("text"),
+            )
+        else:
+            row = df.select("conv_id", "turn", "role", "text")
+        row = row.select(F.lit(fmt).alias("format"), "*")
         result = row if result is None else result.unionByName(row)
     return result
 
@@ -178,7 +218,9 @@ def end_to_end(spark, folder):
     """List, read, detect, clean, gate, annotate, write: a table written as a dataset."""
     root, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     writers.write_table(seeded_texts(spark, folder), f"{root}/docs.csv", "csv")
-    status = processing.process_datasets(spark, root, out)
+    status = processing.process_datasets(
+        spark, root, out, multi_line=True, parts=spark.sparkContext.defaultParallelism
+    )
     failed = status.where("status <> 'done'").collect()
     if failed:
         raise RuntimeError(str(failed))
@@ -189,20 +231,27 @@ def end_to_end(spark, folder):
 
 @query
 def snk_annotated(spark, folder):
-    """A JSON-lines dataset, annotated and written in its own format, read back."""
+    """JSON and JSON-lines datasets, annotated with keywords, written in their own format, read back."""
     root = scratch_path(spark, "annotate")
     docs = seeded_texts(spark, folder)
-    writers.write_table(docs, f"{root}/docs.jsonl", "jsonl")
-    config = AnnotationConfig(enable_keywords=False)
-    processing.annotate_dataset(spark, f"{root}/docs.jsonl", f"{root}/annotated.jsonl", config)
-    return readers.read_dataset(spark, f"{root}/annotated.jsonl").select(
-        "doc_id",
-        F.col("text_annotations.sentiment.label").alias("sentiment"),
-        F.when(
-            F.col("text_annotations").isNotNull(), F.size("text_annotations.entities")
-        ).cast("bigint").alias("n_entities"),
-        F.col("text_annotations.instruction.is_instruction").alias("is_instruction"),
-    )
+    result = None
+    for fmt in ("json", "jsonl"):
+        writers.write_table(docs, f"{root}/docs.{fmt}", fmt)
+        processing.annotate_dataset(
+            spark, f"{root}/docs.{fmt}", f"{root}/annotated.{fmt}", row_key="doc_id"
+        )
+        read = readers.read_dataset(spark, f"{root}/annotated.{fmt}").select(
+            F.lit(fmt).alias("format"),
+            "doc_id",
+            F.col("text_annotations.sentiment.label").alias("sentiment"),
+            F.when(
+                F.col("text_annotations").isNotNull(), F.size("text_annotations.entities")
+            ).cast("bigint").alias("n_entities"),
+            F.col("text_annotations.instruction.is_instruction").alias("is_instruction"),
+            F.coalesce(F.size("text_annotations.keywords"), F.lit(0)).cast("bigint").alias("n_keywords"),
+        )
+        result = read if result is None else result.union(read)
+    return result
 
 
 @query
@@ -651,7 +700,7 @@ def lang_id(spark, folder):
 def ann_language(spark, folder):
     """The model of the documents applied to the turns of the conversations."""
     model = _language_model(spark, folder)
-    talks = readers.spread(table(spark, folder, "conversations")).select("conv_id", "turn", "text")
+    talks = readers.spread(table(spark, folder, "conversations"), spark.sparkContext.defaultParallelism).select("conv_id", "turn", "text")
     return rounded(model.detect(talks, "text").select("conv_id", "turn", "language.*"))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -30,14 +30,30 @@ def build_session(master: str | None = None, app: str = "corpusmill", **conf) ->
     return builder.getOrCreate()
 
 
+_written: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder that driver and executors share, for a table between two jobs.
 
-    Only when ``spark.checkpoint.dir`` is unset (tests on one machine) is a local
-    temporary folder taken, and then set, so that later calls share it.
+    It lies below ``spark.checkpoint.dir``, else below the session's warehouse folder. On a
+    cluster a warehouse on a machine's own disk is no such place, and an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="corpusmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        alone = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        if not alone and urlsplit(warehouse).scheme in ("", "file"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{warehouse.rstrip('/')}/_scratch"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to scratch folders. Results that still read from
+    there must have been consumed or written before."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -11,6 +11,12 @@ DATASET_EXTENSIONS = ("csv", "json", "txt", "jsonl")
 IGNORED_FOLDER = "/.git/"
 
 
+def _qualified(spark: SparkSession, uri: str) -> str:
+    """The URI as file status shows it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def list_datasets(spark: SparkSession, uri: str, extensions=DATASET_EXTENSIONS) -> DataFrame:
     """(path, extension, files, bytes) of all datasets below ``uri``.
 
@@ -25,9 +31,14 @@ def list_datasets(spark: SparkSession, uri: str, extensions=DATASET_EXTENSIONS)
         .select("path", F.col("length").alias("bytes"))
         .where(~F.col("path").contains(IGNORED_FOLDER))
     )
-    # The topmost folder or file with a dataset's extension.
+    # The topmost folder or file below ``uri`` with a dataset's extension; ``uri`` itself if it is one file.
     ending = "|".join(extensions)
-    root = F.regexp_extract("path", rf"^(.*?/[^/]*\.({ending}))(?:/|$)", 1)
+    base = _qualified(spark, uri)
+    inside = F.col("path").startswith(base)
+    below = F.when(inside, F.substring("path", len(base) + 1, 1 << 30)).otherwise(F.col("path"))
+    part = F.regexp_extract(below, rf"^((?:/.*?)?[^/]*\.({ending}))(?:/|$)", 1)
+    whole = F.when(below == "", F.regexp_extract("path", rf"^.*\.({ending})$", 0)).otherwise("")
+    root = F.when(part != "", F.concat(F.when(inside, base).otherwise(""), part)).otherwise(whole)
     return (
         files.withColumn("dataset", root)
         .where(F.col("dataset") != "")

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import named
+from ..session import scratch_path
 
 # Cells of a CSV file that mean "no value".
 NA_TOKENS = (
@@ -14,7 +21,7 @@ NA_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 # Shapes of numbers and truth values in a CSV cell.
-INTEGER = r"^\s*[+-]?[0-9]{1,18}\s*$"
+INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 DECIMAL = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 TRUTH = r"^(?:True|False|TRUE|FALSE|true|false)$"
 
@@ -33,99 +40,212 @@ def format_of(uri: str) -> str:
     return FORMATS[extension]
 
 
-def _cell_types(df: DataFrame) -> dict[str, str]:
-    """The narrowest of bigint, double, boolean and string for each string column.
+def _strings(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
 
-    One aggregation over all columns; one row reaches the driver.
+def _cells(df: DataFrame) -> dict[str, tuple[str, float | None]]:
+    """(narrowest type, average length) of each string column; the type is one of bigint, double,
+    boolean and string.
+
+    One aggregation over all columns; one row reaches the driver. Whole numbers that
+    no bigint holds stay text, since a double would merge them.
     """
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    strings = _strings(df)
     if not strings:
         return {}
-    shapes = {"bigint": INTEGER, "double": DECIMAL, "boolean": TRUTH}
-
-    def fits(column: Column, pattern: str) -> Column:
-        return F.coalesce(F.every(column.rlike(pattern)), F.lit(False))
 
-    row = df.agg(
-        *[
-            fits(named(c), pattern).alias(f"{kind}_{i}")
-            for i, c in enumerate(strings)
-            for kind, pattern in shapes.items()
+    def every(condition: Column) -> Column:
+        return F.coalesce(F.every(condition), F.lit(False))
+
+    measures = []
+    for i, c in enumerate(strings):
+        cell = named(c)
+        whole = cell.rlike(INTEGER)
+        held = F.when(cell.isNotNull(), F.trim(cell).try_cast("bigint").isNotNull())
+        measures += [
+            every(whole & held).alias(f"bigint_{i}"),
+            every(cell.rlike(DECIMAL) & (~whole | held)).alias(f"double_{i}"),
+            every(cell.rlike(TRUTH)).alias(f"boolean_{i}"),
+            F.avg(F.length(cell)).alias(f"length_{i}"),
         ]
-    ).first()
+    row = df.agg(*measures).first()
+    kinds = ("bigint", "double", "boolean")
     return {
-        c: next((kind for kind in shapes if row[f"{kind}_{i}"]), "string")
+        c: (next((k for k in kinds if row[f"{k}_{i}"]), "string"), row[f"length_{i}"])
         for i, c in enumerate(strings)
     }
 
 
+def _cast(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    def cast(name: str) -> Column:
+        kind = kinds.get(name, "string")
+        return named(name) if kind == "string" else F.trim(named(name)).cast(kind).alias(name)
+
+    return df.select(*[cast(c) for c in df.columns])
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Cast string columns whose every value is a number or truth value."""
-    kinds = _cell_types(df)
+    return _cast(df, {c: kind for c, (kind, _) in _cells(df).items()})
 
-    def cast(name: str) -> Column:
-        kind = kinds.get(name, "string")
-        column = named(name)
-        return column if kind == "string" else F.trim(column).cast(kind).alias(name)
 
-    return df.select(*[cast(c) if c in kinds else named(c) for c in df.columns])
+def _without_na(df: DataFrame) -> DataFrame:
+    return df.select(*[F.when(~named(c).isin(*NA_TOKENS), named(c)).alias(c) for c in df.columns])
+
+
+def spans_lines(spark: SparkSession, uri: str) -> bool:
+    """Whether a cell holds a line break: then some line has an odd number of quotes."""
+    lines = spark.read.text(uri)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.where(quotes % 2 == 1).isEmpty()
+
+
+def _csv_cells(spark: SparkSession, uri: str, multi_line: bool | None, names=None) -> DataFrame:
+    """All cells as text, those that mean "no value" as null."""
+    if multi_line is None:
+        multi_line = spans_lines(spark, uri)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    if names is not None:
+        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return _without_na(reader.option("inferSchema", False).csv(uri))
 
 
 def read_csv(spark: SparkSession, uri: str, schema: T.StructType | None = None,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool | None = None) -> DataFrame:
     """A CSV dataset with header.
 
-    Cells that mean "no value" are null before the types are found. Give ``schema``
-    to save the pass that finds them, and ``multi_line=False`` where no cell holds a
-    line break, so that large files are split between tasks.
+    Cells that mean "no value" are null before the types are found or, with a
+    ``schema``, cast; a schema saves the pass that finds them, and a cell that does not fit it is an
+    error. Large files are split between tasks unless a cell holds a line break. That
+    is found by a pass over the lines, which ``multi_line`` True or False saves.
     """
-    reader = (
-        spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    )
-    if schema is not None:
-        return reader.schema(schema).csv(uri)
-    raw = reader.option("inferSchema", False).csv(uri)
-    present = raw.select(
-        *[F.when(~named(c).isin(*NA_TOKENS), named(c)).alias(c) for c in raw.columns]
+    if schema is None:
+        return infer_types(_csv_cells(spark, uri, multi_line))
+    cells = _csv_cells(spark, uri, multi_line, schema.fieldNames())
+    return cells.select(
+        *[
+            named(f.name) if isinstance(f.dataType, T.StringType)
+            else F.trim(named(f.name)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
     )
-    return infer_types(present)
 
 
-def _is_column_oriented(schema: T.StructType) -> bool:
-    """{"col": {"0": .., "1": ..}, ..}: every field an object with the same keys."""
-    fields = schema.fields
-    if not fields or not all(isinstance(f.dataType, T.StructType) for f in fields):
-        return False
-    keys = set(fields[0].dataType.fieldNames())
-    return all(set(f.dataType.fieldNames()) == keys for f in fields) and all(
-        k.isdigit() for k in keys
+def _json_records(text: str) -> Iterator[str]:
+    """The records of all JSON documents in a text, each on one line.
+
+    A document is a list of records, a record, or columns of cells (an object of objects
+    that all have the same numbers as keys). Anything else is an error.
+    """
+    decoder, blanks = json.JSONDecoder(), re.compile(r"[ \t\r\n]*")
+
+    def skip(at: int) -> int:
+        return blanks.match(text, at).end()
+
+    def one_line(start: int, end: int) -> str:
+        # Line breaks stand between tokens only; inside a string they are escaped.
+        return text[start:end].replace("\r", " ").replace("\n", " ")
+
+    at = skip(0)
+    while at < len(text):
+        if text[at] == "[":
+            at = skip(at + 1)
+            while text[at : at + 1] != "]":
+                _, end = decoder.raw_decode(text, at)
+                yield one_line(at, end)
+                at = skip(end)
+                if text[at : at + 1] == ",":
+                    at = skip(at + 1)
+                elif text[at : at + 1] != "]":
+                    raise ValueError(f"no comma between the records at character {at}")
+            end = at + 1
+        else:
+            value, end = decoder.raw_decode(text, at)
+            if not isinstance(value, dict):
+                raise ValueError("a JSON document must be a list, a record or columns")
+            columns = list(value.values())
+            keys = columns[0].keys() if columns and isinstance(columns[0], dict) else ()
+            if keys and all(isinstance(c, dict) and c.keys() == keys for c in columns) and all(k.isdigit() for k in keys):
+                for k in sorted(keys, key=int):
+                    yield json.dumps({name: column[k] for name, column in value.items()})
+            else:
+                yield one_line(at, end)
+        at = skip(end)
+
+
+def _documents_as_lines(spark: SparkSession, files: list[str] | str) -> str:
+    """Write the records of whole-file documents as JSON lines; the folder written."""
+
+    def split(batches):
+        for batch in batches:
+            for path, text in zip(batch["path"], batch["value"], strict=True):
+                try:
+                    lines = list(_json_records(text))
+                except ValueError as error:
+                    raise ValueError(f"malformed JSON in {path}: {error}") from None
+                yield pd.DataFrame({"value": lines}, dtype=object)
+
+    out = scratch_path(spark, "json-records")
+    (
+        spark.read.text(files, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("path"), "value")
+        .mapInPandas(split, "value string")
+        .write.text(out)
     )
+    return out
 
 
 def read_json(spark: SparkSession, uri: str, schema: T.StructType | None = None) -> DataFrame:
-    """One JSON document per file: a list of records, a record, or columns of cells.
+    """JSON files: records by line, or whole-file documents, several to a file if need be.
 
-    A malformed document is an error, not a row of nulls.
+    A document is a list of records, a record, or columns of cells. A file whose lines
+    (two or more) all begin and end as an object does is read by line and split between tasks;
+    the documents of any other are first written as lines, by one task for each file.
+    Malformed documents are an error, not rows of nulls.
     """
-    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
-    if schema is not None:
-        return reader.schema(schema).json(uri)
-    raw = reader.json(uri)
-    if not _is_column_oriented(raw.schema):
-        return raw
-    names = raw.columns
-    keys = sorted(raw.schema.fields[0].dataType.fieldNames(), key=int)
-    cells = F.array(
-        *[
-            F.struct(*[named(n).getField(k).alias(n) for n in names])
-            for k in keys
-        ]
+    line = F.trim(F.col("value"), F.lit(" \t\r\n"))
+    files = (
+        spark.read.text(uri)
+        .select(F.col("_metadata.file_path").alias("path"), line.alias("line"))
+        .where(F.col("line") != "")
+        .groupBy("path")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.every(F.col("line").startswith("{") & F.col("line").endswith("}")).alias("objects"),
+        )
+        .select("path", ((F.col("n") > 1) & F.col("objects")).alias("by_line"))
     )
-    return raw.select(F.inline(cells))
+    n_lines, n_whole = files.agg(F.count_if("by_line"), F.count_if(~F.col("by_line"))).first()
+
+    def paths(by_line: bool) -> list[str]:
+        kind = F.col("by_line") if by_line else ~F.col("by_line")
+        return [unquote(r["path"]) for r in files.where(kind).select("path").collect()]
+
+    reader = spark.read.option("mode", "FAILFAST")
+    reader = reader if schema is None else reader.schema(schema)
+    whole = None if n_lines else uri
+    by_line = uri
+    if n_lines and n_whole:
+        whole, by_line = paths(False), paths(True)
+    if n_lines or not n_whole:
+        records = reader.json(by_line)
+        if _is_column_oriented(records.schema):  # such documents, each on a line of its own
+            records = reader.json(_documents_as_lines(spark, by_line))
+        if whole is None:
+            return records
+        return records.unionByName(reader.json(_documents_as_lines(spark, whole)), allowMissingColumns=True)
+    return reader.json(_documents_as_lines(spark, whole))
+
+
+def _is_column_oriented(schema: T.StructType) -> bool:
+    """Every field is an object, and all have the same numbers as keys."""
+    keys = [set(f.dataType.names) if isinstance(f.dataType, T.StructType) else set() for f in schema.fields]
+    return bool(keys) and all(k == keys[0] for k in keys) and bool(keys[0]) and all(k.isdigit() for k in keys[0])
 
 
 def read_dataset(spark: SparkSession, uri: str, fmt: str | None = None,
-                 schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+                 schema: T.StructType | None = None, multi_line: bool | None = None) -> DataFrame:
     """Read by extension, or as ``fmt``. A text file is a table of lines, ``text``.
 
     ``multi_line`` is that of ``read_csv``.
@@ -145,26 +265,37 @@ def read_dataset(spark: SparkSession, uri: str, fmt: str | None = None,
     raise UnsupportedFormat(f"unsupported file format: {fmt}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a table of few input splits to all cores.
+def spread(df: DataFrame, parts: int | None) -> DataFrame:
+    """Deal the rows to ``parts`` tasks, a full shuffle; None leaves them as they are.
 
-    Text work costs far more than reading. A file that is not split (one row group,
-    a multi-line document) would keep one core busy; a large table has more splits
-    than the cluster has cores and is left as it is.
+    For tables whose few input splits would keep few cores busy: text work can cost far
+    more than reading. On a table of many splits it only costs.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df if parts is None or df.isStreaming else df.repartition(parts)
 
 
 # Fixed value: a string column whose texts are longer than this on average is text.
 MIN_AVERAGE_LENGTH = 10
 
 
+def read_with_text_columns(spark: SparkSession, uri: str, schema: T.StructType | None = None,
+                           multi_line: bool | None = None) -> tuple[DataFrame, list[str]]:
+    """A dataset and its text columns. A CSV's types and lengths come from one pass."""
+    if format_of(uri) != "csv" or schema is not None:
+        df = read_dataset(spark, uri, schema=schema, multi_line=multi_line)
+        return df, text_columns(df)
+    raw = _csv_cells(spark, uri, multi_line)
+    cells = _cells(raw)
+    texts = [
+        c for c, (kind, length) in cells.items()
+        if kind == "string" and length is not None and length > MIN_AVERAGE_LENGTH
+    ]
+    return _cast(raw, {c: kind for c, (kind, _) in cells.items()}), texts
+
+
 def text_column_lengths(df: DataFrame) -> DataFrame:
     """(column, average_length, is_text) of every string column, in one pass."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    strings = _strings(df)
     if not strings:
         return df.sparkSession.createDataFrame(
             [], "column string, average_length double, is_text boolean"
