@@ -9,13 +9,38 @@ from pyspark.sql import types as T
 from ..functions.text import named
 
 ROWS = -1
+_ALL_FIELDS = {"ignoreNullFields": "false"}
+
+
+def _nested(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType))
+
+
+def _with_sorted_maps(value: Column, kind: T.DataType) -> Column:
+    """The value with every map, however deep, as an array of entries sorted by key."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _with_sorted_maps(v, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_with_sorted_maps(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
+    if isinstance(kind, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                F.to_json(F.struct(_with_sorted_maps(e["key"], kind.keyType).alias("k")), _ALL_FIELDS).alias("key"),
+                F.to_json(F.struct(_with_sorted_maps(e["value"], kind.valueType).alias("v")), _ALL_FIELDS).alias("value"),
+            ),
+        )
+        return F.sort_array(entries)
+    return value
 
 
 def _hashable(field: T.StructField) -> Column:
+    """Nested values as JSON text, nulls kept and map entries in order; others as they are."""
     column = named(field.name)
-    if isinstance(field.dataType, (T.MapType, T.VariantType)):
-        return F.to_json(column)
-    return column
+    if not _nested(field.dataType):
+        return column
+    return F.to_json(F.struct(_with_sorted_maps(column, field.dataType).alias("c")), _ALL_FIELDS)
 
 
 def row_digest(fields: list[T.StructField]) -> list[Column]:
