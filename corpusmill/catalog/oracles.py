@@ -456,10 +456,11 @@ def linguistic(source: str, keys: str, ctes: str) -> str:
     return f"""{ctes}, {entity_ctes(source, keys)},
 named AS (SELECT {keys}, string_agg(text || '/' || label, {JOINER} ORDER BY ix) AS entities
   FROM entity GROUP BY {keys})
-SELECT {selected}, coalesce(e.entities, '') AS entities, len({tokens('s.text')}) AS n_tokens,
+SELECT {selected}, CASE WHEN s.text IS NOT NULL THEN coalesce(e.entities, '') END AS entities, len({tokens('s.text')}) AS n_tokens,
   len({sentences('s.text')}) AS n_sentences,
-  len(list_filter({tokens('s.text')}, lambda t: lower(t) IN ({TAGGED}))) AS n_tagged, 0.0::DOUBLE AS sentiment
-FROM {source} s LEFT JOIN named e ON {join} WHERE s.text IS NOT NULL"""
+  len(list_filter({tokens('s.text')}, lambda t: lower(t) IN ({TAGGED}))) AS n_tagged,
+  CASE WHEN s.text IS NOT NULL THEN 0.0::DOUBLE END AS sentiment
+FROM {source} s LEFT JOIN named e ON {join}"""
 
 
 SENTENCE_SOURCE = f"""WITH {SEEDED},
@@ -556,15 +557,16 @@ SELECT unnest(range(0, len(l))) AS line_no, unnest(l) AS line FROM lines"""
 
 
 SUMMARY = f"""
-SELECT s.doc_id, coalesce(n.n_entities, 0) AS n_entities, round(f.score, 6) AS sentiment_score,
-  {FEELING_LABEL.replace('score', 'f.score')} AS sentiment_label, coalesce(t.n_topics, 0) AS n_topics,
-  <language> AS language, {is_instruction('s.text')} AS is_instruction,
+SELECT s.doc_id, CASE WHEN s.text IS NOT NULL THEN coalesce(n.n_entities, 0) END AS n_entities,
+  round(f.score, 6) AS sentiment_score,
+  CASE WHEN s.text IS NOT NULL THEN {FEELING_LABEL.replace('score', 'f.score')} END AS sentiment_label,
+  CASE WHEN s.text IS NOT NULL THEN coalesce(t.n_topics, 0) END AS n_topics,
+  CASE WHEN s.text IS NOT NULL THEN <language> END AS language, {is_instruction('s.text')} AS is_instruction,
   {commands('s.text')} AS command_words<more>
-FROM seeded s JOIN feeling f ON s.doc_id = f.doc_id
+FROM seeded s LEFT JOIN feeling f ON s.doc_id = f.doc_id
 LEFT JOIN (SELECT doc_id, count(*) AS n_entities FROM entity GROUP BY doc_id) n ON s.doc_id = n.doc_id
 LEFT JOIN (SELECT doc_id, count(*) AS n_topics FROM topic GROUP BY doc_id) t ON s.doc_id = t.doc_id
-<joins>
-WHERE s.text IS NOT NULL"""
+<joins>"""
 
 
 def summary(language: str, more: str = "", joins: str = "") -> str:
@@ -641,6 +643,10 @@ ORACLES = {
     "q_validity": one(SEEDED_RELATION.validity(), "validity", "seeded", f"WITH {SEEDED}"),
     "q_row_uniqueness": """SELECT round((SELECT count(*) FROM (SELECT DISTINCT text, lang, source FROM documents))
       / count(*), 6) AS row_uniqueness FROM documents""",
+    "q_row_uniqueness_nested": """WITH shown AS (SELECT doc_id % 2 AS side,
+        CASE WHEN doc_id % 3 <> 0 THEN coalesce('=' || lang, '-') ELSE '-' END AS l, lang, source FROM documents)
+      SELECT round((SELECT count(*) FROM (SELECT DISTINCT CASE side WHEN 0 THEN [l, '=x'] ELSE ['=x', l] END, l, lang, source
+        FROM shown)) / count(*), 6) AS row_uniqueness FROM documents""",
     "q_text_uniqueness": one(SEEDED_RELATION.text_uniqueness(), "text_uniqueness", "seeded", f"WITH {SEEDED}"),
     "q_uniqueness": f"SELECT round({DOC_RELATION.uniqueness()}, 6) AS uniqueness",
     "q_timeliness": one(FRESHNESS, "timeliness", "events"),
@@ -690,13 +696,14 @@ ORACLES = {
       FROM joined WHERE o_orderdate > l_shipdate HAVING count(*) > 0
       UNION ALL SELECT 'l_quantity', 'Found ' || count(*) || ' violations of: quantity above 49'
       FROM joined WHERE l_quantity > 49 HAVING count(*) > 0
-      UNION ALL SELECT 'o_orderdate+o_paydate', 'Missing required fields for validation: [''o_paydate'']'""",
+      UNION ALL SELECT 'o_orderdate+o_paydate', 'Missing required fields for validation: [''o_paydate'']'
+      UNION ALL SELECT 'l_quantity', 'Validation failed for fields [''l_quantity'']: no rates today'""",
     "rule_date_order": f"""{DATES} SELECT count(*) FILTER (s > e) AS start_after_end,
       count(*) FILTER ((start_date IS NOT NULL AND s IS NULL) OR (end_date IS NOT NULL AND e IS NULL)) AS unparsable,
       count(*) FILTER (s > e) = 0 AND count(*) FILTER ((start_date IS NOT NULL AND s IS NULL)
         OR (end_date IS NOT NULL AND e IS NULL)) = 0 AS passed FROM dates""",
     "ann_tokens": f"""WITH {SEEDED} SELECT doc_id, len({tokens('text')}) AS n_tokens,
-      array_to_string({tokens('text')}, {JOINER}) AS tokens FROM seeded WHERE text IS NOT NULL""",
+      array_to_string({tokens('text')}, {JOINER}) AS tokens FROM seeded""",
     "ann_sentences": f"{SENTENCE_SOURCE} SELECT doc_id, position, text AS sentence FROM sentence",
     "ann_pos_tags": f"""WITH {SEEDED}, tok AS (SELECT doc_id, lower(unnest({tokens('text')})) AS t FROM seeded)
       SELECT doc_id, CASE WHEN t IN ({quoted(TAGS['NOUN'])}) THEN 'NOUN' WHEN t IN ({quoted(TAGS['ADJ'])}) THEN 'ADJ'
@@ -708,6 +715,14 @@ ORACLES = {
     "ann_sentiment": f"""WITH {SEEDED}, {SENTIMENT_CTES} SELECT s.doc_id, round(score, 6) AS score,
       CASE WHEN score IS NOT NULL THEN {FEELING_LABEL} END AS label
       FROM seeded s LEFT JOIN feeling f ON s.doc_id = f.doc_id""",
+    "ann_sentiment_ml": f"""WITH {SEEDED} SELECT doc_id, text IS NULL AS is_null, true AS in_range, true AS label_fits,
+      true AS model_agrees FROM seeded""",
+    "ann_own_annotator": f"""WITH {SEEDED} SELECT doc_id, length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines,
+      length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, {is_instruction('text')} AS is_instruction FROM seeded""",
+    "rule_own": f"""WITH {SEEDED}, loud AS (SELECT doc_id FROM seeded
+        WHERE length(regexp_replace(text, '[^A-Z]', '', 'g')) / nullif(length(text), 0) > 0.05)
+      SELECT 'Shouting' AS rule, 'text' AS "column", doc_id::VARCHAR AS row_key, 'Too many capitals' AS message FROM loud
+      UNION ALL SELECT 'Shouting', 'text', NULL, 'violations: ' || count(*) FROM loud""",
     "ann_topics": f"""WITH {SEEDED}, {entity_ctes('seeded', 'doc_id')}, {TOPIC_CTES}
       SELECT doc_id, position, topic FROM topic""",
     "ann_keywords": f"WITH {SEEDED}, {keyword_ctes(False)} SELECT doc_id, rank, text, pos, round(score, 6) AS score FROM keyword",
@@ -719,14 +734,14 @@ ORACLES = {
       SELECT c.conv_id, c.turn, b.language, coalesce(round(b.confidence, 6), 0.0) AS confidence
       FROM conversations c LEFT JOIN best b ON c.conv_id = b.conv_id AND c.turn = b.turn""",
     "ann_instruction": f"""WITH {SEEDED} SELECT doc_id, {is_instruction('text')} AS is_instruction,
-      contains(text, '?') AS has_question_mark FROM seeded WHERE text IS NOT NULL""",
-    "ann_command_words": f"WITH {SEEDED} SELECT doc_id, {commands('text')} AS command_words FROM seeded WHERE text IS NOT NULL",
+      contains(text, '?') AS has_question_mark FROM seeded""",
+    "ann_command_words": f"WITH {SEEDED} SELECT doc_id, {commands('text')} AS command_words FROM seeded",
     "annotate_text": f"WITH {SEEDED}, {IN_ROW_CTES}" + summary("'en'"),
     "annotate_batch": f"{LANGUAGE_CTES}, {SEEDED}, {SEEDED_GRAMS}, grams_keys AS (SELECT * FROM grams), "
     f"{detect_ctes('grams', 'doc_id')}, {IN_ROW_CTES}, {keyword_ctes(False)}"
     + summary(
         language="b.language",
-        more=", coalesce(k.keywords, '') AS keywords",
+        more=", CASE WHEN s.text IS NOT NULL THEN coalesce(k.keywords, '') END AS keywords",
         joins=f"""LEFT JOIN best b ON s.doc_id = b.doc_id
 LEFT JOIN (SELECT doc_id, string_agg(text, {JOINER} ORDER BY rank) AS keywords FROM keyword GROUP BY doc_id) k ON s.doc_id = k.doc_id""",
     ),

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.text import named
 
 MAX_LITERAL_ENTRIES = 5000
+# Distinct values that a lookup tells apart by branches of one CASE.
+MAX_BRANCHES = 32
 # Rows of a frequent candidate ("the") are spread over this many join keys.
 SALTS = 32
 
@@ -33,14 +35,20 @@ class LiteralLookup:
         return key.isin(*self.entries)
 
     def value(self, key: Column) -> Column:
-        """The entry's value or null: one hash set per distinct value."""
+        """The entry's value or null: a hash set per distinct value while these are few, else
+        one list of keys and one of values, whatever the number of values."""
         keys_of = defaultdict(list)
         for k, v in self.entries.items():
             keys_of[v].append(k)
-        result = F.lit(None)
-        for v, keys in sorted(keys_of.items(), key=lambda kv: str(kv[0]), reverse=True):
-            result = F.when(key.isin(*keys), F.lit(v)).otherwise(result)
-        return result
+        if len(keys_of) > MAX_BRANCHES:
+            keys = sorted(self.entries)
+            place = F.array_position(F.lit(keys), key)
+            values = F.lit([self.entries[k] for k in keys])
+            return F.when(key.isin(*keys), F.try_element_at(values, place.cast("int")))
+        result = None
+        for v, keys in sorted(keys_of.items(), key=lambda kv: str(kv[0])):
+            result = F.when(key.isin(*keys), F.lit(v)) if result is None else result.when(key.isin(*keys), F.lit(v))
+        return F.lit(None) if result is None else result
 
 
 class RowLookup:

@@ -13,6 +13,7 @@ from ..config import SpecialCharacterConfig
 from ..functions import patterns as P
 from ..functions.scoring import is_checkable_text, special_character_ratio, without_markup
 from ..functions.text import keep_rows, named, parse_time, two_decimals
+from ..session import scratch_path
 from .language import LanguageModel, has_trigrams
 
 SNIPPET_CHARS = 50
@@ -161,6 +162,9 @@ class LanguageConsistencyRule(Rule):
         return (language != self.primary_language) & (confidence > self.min_confidence)
 
     def issues(self, df: DataFrame, row_key: str | None = None) -> DataFrame:
+        return self._issues_of(self._written(df, row_key))
+
+    def _issues_of(self, scored: DataFrame) -> DataFrame:
         message = F.concat(
             F.lit("Text detected as "),
             F.col("language"),
@@ -170,12 +174,9 @@ class LanguageConsistencyRule(Rule):
             F.substring("text", 1, SNIPPET_CHARS),
             F.lit("..."),
         )
-        foreign = keep_rows(
-            self.detected(df, row_key),
-            lambda row: self._foreign(row["language"], row["confidence"]),
-        )
+        foreign = scored.where(self._foreign(F.col("language"), F.col("confidence")))
         rows = foreign.select(*self._issue(F.col("column"), F.col("row_key"), message))
-        low = self.stats(df).where(F.col("primary_language_ratio") < self.threshold)
+        low = self._stats_of(scored).where(F.col("primary_language_ratio") < self.threshold)
         column_message = F.concat(
             F.lit("Column "),
             F.col("column"),
@@ -188,7 +189,22 @@ class LanguageConsistencyRule(Rule):
 
     def stats(self, df: DataFrame) -> DataFrame:
         """(column, primary_language_ratio, detected_languages, violations)."""
-        return self.detected(df).groupBy("column").agg(
+        return self._stats_of(self.detected(df))
+
+    def validate(self, df: DataFrame, row_key: str | None = None) -> RuleResult:
+        scored = self._written(df, row_key)
+        return RuleResult(self._issues_of(scored), self._stats_of(scored))
+
+    def _written(self, df: DataFrame, row_key: str | None) -> DataFrame:
+        """What was detected, written, so that each text is scored once for rows and columns."""
+        path = scratch_path(df.sparkSession, "languages")
+        self.detected(df, row_key).withColumn(
+            "text", F.substring("text", 1, SNIPPET_CHARS)
+        ).write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+
+    def _stats_of(self, scored: DataFrame) -> DataFrame:
+        return scored.groupBy("column").agg(
             F.avg((F.col("language") == self.primary_language).cast("double")).alias(
                 "primary_language_ratio"
             ),
@@ -308,10 +324,31 @@ class CrossFieldConsistencyRule(Rule):
     def _missing(self, df: DataFrame, r: Relationship) -> list[str]:
         return [f for f in r.fields if f not in df.columns]
 
-    def stats(self, df: DataFrame) -> DataFrame:
-        """(fields, description, violations); all predicates share one pass."""
-        usable = [r for r in self.relationships if not self._missing(df, r)]
-        predicates = [r for r in usable if isinstance(r.violation, Column)]
+    def _split(self, df: DataFrame) -> tuple[list, list, list[tuple[str, str]]]:
+        """Usable predicates, (relationship, frame of violations) pairs, and what fails, as
+        (fields, message).
+
+        A relationship that cannot be analysed on this table is an issue; the others run.
+        """
+        predicates, frames, failing = [], [], []
+        for r in self.relationships:
+            fields = "+".join(r.fields)
+            if missing := self._missing(df, r):
+                failing.append((fields, f"Missing required fields for validation: {missing}"))
+                continue
+            try:
+                if isinstance(r.violation, Column):
+                    df.select(r.violation.cast("boolean")).schema  # noqa: B018 - analyses the expression
+                    predicates.append(r)
+                else:
+                    bad = r.violation(df.select(*[named(f) for f in r.fields]))
+                    bad.schema  # noqa: B018
+                    frames.append((r, bad))
+            except Exception as error:  # noqa: BLE001 - reported as an issue
+                failing.append((fields, f"Validation failed for fields {list(r.fields)}: {str(error).splitlines()[0] if str(error) else type(error).__name__}"))
+        return predicates, frames, failing
+
+    def _counts(self, df: DataFrame, predicates: list, violations: list) -> DataFrame:
         frames = []
         if predicates:
             counted = df.agg(
@@ -328,10 +365,7 @@ class CrossFieldConsistencyRule(Rule):
                 ]
             )
             frames.append(counted.select(F.inline(rows)))
-        for r in usable:
-            if isinstance(r.violation, Column):
-                continue
-            bad = r.violation(df.select(*[named(f) for f in r.fields]))
+        for r, bad in violations:
             frames.append(
                 bad.agg(F.count(F.lit(1)).alias("violations")).select(
                     F.lit("+".join(r.fields)).alias("fields"),
@@ -348,19 +382,20 @@ class CrossFieldConsistencyRule(Rule):
             result = result.unionByName(f)
         return result
 
+    def stats(self, df: DataFrame) -> DataFrame:
+        """(fields, description, violations); all predicates share one pass."""
+        predicates, violations, _ = self._split(df)
+        return self._counts(df, predicates, violations)
+
     def issues(self, df: DataFrame, row_key: str | None = None) -> DataFrame:
         message = F.concat(
             F.lit("Found "), F.col("violations").cast("string"), F.lit(" violations of: "),
             F.col("description"),
         )
-        found = self.stats(df).where(F.col("violations") > 0).select(
+        predicates, violations, absent = self._split(df)
+        found = self._counts(df, predicates, violations).where(F.col("violations") > 0).select(
             *self._issue(F.col("fields"), F.lit(None), message)
         )
-        absent = [
-            ("+".join(r.fields), f"Missing required fields for validation: {self._missing(df, r)}")
-            for r in self.relationships
-            if self._missing(df, r)
-        ]
         if not absent:
             return found
         rows = df.sparkSession.createDataFrame(absent, "fields string, text string")
