@@ -122,10 +122,15 @@ TABLE_REGIONS = "SELECT r_name FROM region"
 FIXED_REGIONS = "SELECT unnest([" + quoted(DEFAULT_REGIONS) + "])"
 
 
-def entity_ctes(source: str, keys: str, regions_sql: str = TABLE_REGIONS) -> str:
+LARGE_PHRASES = """SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{9,}')) AS phrase, 'WORD' AS label FROM documents
+  UNION SELECT DISTINCT regexp_extract(text, '^[A-Z][a-z]* [a-z]+'), 'OPENING' FROM documents
+  WHERE regexp_matches(text, '^[A-Z][a-z]* [a-z]+')"""
+
+
+def entity_ctes(source: str, keys: str, regions_sql: str = TABLE_REGIONS, phrases_sql: str = "") -> str:
     """CTEs ending in ``entity`` (keys, ix, span, text, label, start_pos, end_pos)."""
     return f"""
-phrases AS ({phrase_values(regions_sql)}),
+phrases AS ({phrases_sql or phrase_values(regions_sql)}),
 cut AS (SELECT {keys}, {pieces('text')} AS p FROM {source} WHERE text IS NOT NULL),
 piece AS (SELECT {keys}, unnest(p) AS piece, unnest(range(0, len(p))) AS ix FROM cut),
 placed AS (
@@ -168,9 +173,13 @@ def accepted(text: str, found: str) -> str:
       AND ({found} OR len({tokens(text)}) <= 50), false)"""
 
 
-CLEAN_CTES = f"""WITH {SEEDED},
+def clean_ctes(entities: str) -> str:
+    return CLEAN_TEMPLATE.replace("<entities>", entities)
+
+
+CLEAN_TEMPLATE = f"""WITH {SEEDED},
 base AS (SELECT doc_id, {cleaned('text')} AS text FROM seeded),
-{has_entity_ctes('base', 'doc_id')},
+<entities>,
 judged AS (
   SELECT b.doc_id, b.text, {accepted('b.text', 'e.doc_id IS NOT NULL')} AS ok
   FROM base b LEFT JOIN entity_docs e ON b.doc_id = e.doc_id),
@@ -179,6 +188,10 @@ processed AS (
   SELECT s.doc_id, s.text, a.text_cleaned, {sentences('a.text_cleaned')} AS parts
   FROM seeded s JOIN aligned a ON s.doc_id = a.doc_id)
 """
+CLEAN_CTES = clean_ctes(has_entity_ctes("base", "doc_id"))
+LARGE_CLEAN_CTES = clean_ctes(
+    entity_ctes("base", "doc_id", phrases_sql=LARGE_PHRASES) + ", entity_docs AS (SELECT DISTINCT doc_id FROM entity)"
+)
 
 
 def step(expression: str) -> str:
@@ -715,6 +728,17 @@ ORACLES = {
     "ann_sentiment": f"""WITH {SEEDED}, {SENTIMENT_CTES} SELECT s.doc_id, round(score, 6) AS score,
       CASE WHEN score IS NOT NULL THEN {FEELING_LABEL} END AS label
       FROM seeded s LEFT JOIN feeling f ON s.doc_id = f.doc_id""",
+    "ann_entities_large": f"""WITH {SEEDED}, {entity_ctes('seeded', 'doc_id', phrases_sql=LARGE_PHRASES)}
+      SELECT doc_id, text, label, start_pos::BIGINT AS start_pos, end_pos::BIGINT AS end_pos FROM entity""",
+    "gate_quality_large": f"{LARGE_CLEAN_CTES} SELECT doc_id, text_cleaned FROM aligned",
+    "ann_sentiment_large": f"""WITH {SEEDED},
+      lexicon AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{{9,}}'))) AS word FROM documents),
+      used AS (SELECT doc_id, unnest({words('lower(text)')}) AS word FROM seeded WHERE text IS NOT NULL),
+      sums AS (SELECT doc_id, sum(length(word) % 11 - 5) AS total, sum(abs(length(word) % 11 - 5)) AS size
+        FROM used JOIN lexicon USING (word) GROUP BY doc_id),
+      scores AS (SELECT s.doc_id, CASE WHEN s.text IS NOT NULL THEN coalesce(total / nullif(size, 0), 0.0) END AS score
+        FROM seeded s LEFT JOIN sums ON s.doc_id = sums.doc_id)
+      SELECT doc_id, round(score, 6) AS score, CASE WHEN score IS NOT NULL THEN {FEELING_LABEL} END AS label FROM scores""",
     "ann_sentiment_ml": f"""WITH {SEEDED} SELECT doc_id, text IS NULL AS is_null, true AS in_range, true AS label_fits,
       true AS model_agrees FROM seeded""",
     "ann_own_annotator": f"""WITH {SEEDED} SELECT doc_id, length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines,

@@ -91,6 +91,17 @@ def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     return regions.unionByName(known)
 
 
+def large_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
+    """(phrase, label): long words of the documents, and the two words they open with; far too many
+    for an expression."""
+    docs = table(spark, folder, "documents")
+    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{9,}"), F.lit(0))).alias("phrase"))
+    openings = docs.select(F.regexp_extract("text", "^[A-Z][a-z]* [a-z]+", 0).alias("phrase"))
+    return words.distinct().withColumn("label", F.lit("WORD")).union(
+        openings.where(F.col("phrase") != "").distinct().withColumn("label", F.lit("OPENING"))
+    )
+
+
 # Sources and sinks. What is listed and read was written from the tables before.
 
 
@@ -372,6 +383,15 @@ def gate_quality(spark, folder):
     )
 
 
+@query
+def gate_quality_large(spark, folder):
+    """Cleaning and gates with a gazetteer that is joined."""
+    docs = seeded_texts(spark, folder)
+    return processing.clean_aligned(docs, "text", gazetteer=large_gazetteer(spark, folder), row_key="doc_id").select(
+        "doc_id", "text_cleaned"
+    )
+
+
 @query
 def batch_gate(spark, folder):
     """Both outcomes: the customers pass the gate, the seeded documents do not."""
@@ -670,6 +690,25 @@ def ann_entities(spark, folder):
     )
 
 
+@query
+def ann_entities_large(spark, folder):
+    """The same with a gazetteer that is joined."""
+    found = entities(seeded_texts(spark, folder), "text", large_gazetteer(spark, folder), "doc_id")
+    return found.select(
+        "doc_id", "text", "label", F.col("start").cast("bigint").alias("start_pos"),
+        F.col("end").cast("bigint").alias("end_pos"),
+    )
+
+
+@query
+def ann_sentiment_large(spark, folder):
+    """A lexicon that is joined: long words, weighed by their length."""
+    words = large_gazetteer(spark, folder).where("label = 'WORD'").select(F.lower("phrase").alias("word")).distinct()
+    lexicon = words.withColumn("weight", (F.length("word") % 11 - 5).cast("double"))
+    found = sentiment(seeded_texts(spark, folder), "text", lexicon, row_key="doc_id")
+    return rounded(found.select("doc_id", "sentiment.*"))
+
+
 @query
 def ann_sentiment(spark, folder):
     return rounded(

@@ -23,8 +23,8 @@ DEFAULT_GAZETTEER = {
     "EUROPE": "GPE",
     "MIDDLE EAST": "GPE",
 }
-# Longest phrase in words that a joined (large) gazetteer is matched with.
-MAX_JOINED_WORDS = 4
+# Helper columns of a joined gazetteer.
+HELPERS = ("_phrases", "_firsts")
 
 _HIT = "struct<at:int,span:int,label:string>"
 _ENTITY = "array<struct<text:string,label:string,start:int,end:int>>"
@@ -139,10 +139,16 @@ class EntityMatcher:
         )
 
     def has_entity(self, text: Column) -> Column:
-        return F.size(self._hits_of(text)) > 0
+        """Whether there is any; looks no further than the first."""
 
-    def _hits_of(self, text: Column) -> Column:
-        return let(pieces(text), self._hits)
+        def some(cut: Column) -> Column:
+            by_shape = F.exists(cut, lambda p: self._shape_of(p).isNotNull())
+            starts = F.exists(cut, self._starts_phrase)
+            return F.coalesce(
+                by_shape | (starts & (F.size(self._hits(cut)) > 0)), F.lit(False)
+            )
+
+        return let(pieces(text), some)
 
     def entities(self, text: Column) -> Column:
         """Array of (text, label, start, end); offsets count code points, end exclusive."""
@@ -190,6 +196,7 @@ class EntityMatcher:
 
 def literal_matcher(gazetteer: dict, spark) -> EntityMatcher:
     """A matcher for a gazetteer small enough to be part of the expression."""
+    gazetteer = {p: l for p, l in gazetteer.items() if p}
     if not gazetteer:
         return EntityMatcher(LiteralLookup({}), None, [], F.array().cast("array<int>"))
     # Spark cuts the phrases, so that they end where the pieces of a text end.
@@ -204,20 +211,18 @@ def literal_matcher(gazetteer: dict, spark) -> EntityMatcher:
     )
 
 
-def _word_runs(text: Column) -> Column:
-    """Every run of 1 to MAX_JOINED_WORDS words with single pieces between them."""
-    lengths = [F.lit(2 * k - 1) for k in range(1, MAX_JOINED_WORDS + 1)]
+def phrase_runs(text: Column, spans: list[int]) -> Column:
+    """Every run of as many pieces as some phrase has, from each piece."""
 
     def runs(cut: Column) -> Column:
+        lengths = F.array(*[F.lit(n) for n in spans])
         return F.flatten(
             F.transform(
                 cut,
-                lambda p, i: F.when(
-                    p.rlike(rf"^[{P.WORD_CHAR}]"),
-                    F.transform(
-                        F.array(*lengths), lambda n: F.array_join(F.slice(cut, i + 1, n), "")
-                    ),
-                ).otherwise(F.array().cast("array<string>")),
+                lambda p, i: F.transform(
+                    F.filter(lengths, lambda n: i + n <= F.size(cut)),
+                    lambda n: F.array_join(F.slice(cut, i + 1, n), ""),
+                ),
             )
         )
 
@@ -235,7 +240,8 @@ def entity_matcher(
 
     ``gazetteer`` is a dict or a DataFrame (phrase, label). One of more than
     ``limit`` phrases is joined, for which ``row_key`` must name a unique column;
-    the returned frame then carries the helper columns ``_phrases``, ``_firsts``.
+    the returned frame then carries the helper columns ``_phrases``, ``_firsts``. Both
+    ways find the same: phrases of any shape and of as many pieces as the table has.
     """
     spark = df.sparkSession
     if gazetteer is None:
@@ -253,16 +259,18 @@ def entity_matcher(
         return df, literal_matcher({r.phrase: r.label for r in rows}, spark)
     if row_key is None:
         raise ValueError(f"a gazetteer of more than {limit} phrases needs row_key")
+    # One row for each length that occurs.
+    lengths = gazetteer.where(F.col("phrase") != "").select(F.size(pieces(F.col("phrase"))).alias("n")).distinct()
+    spans = sorted((r.n for r in lengths.collect()), reverse=True)
     matched = attach_matches(
-        df, row_key, _word_runs(named(text_col)), gazetteer, "phrase", "label", "_phrases"
+        df, row_key, phrase_runs(named(text_col), spans), gazetteer, "phrase", "label", "_phrases"
     )
     firsts = F.array_distinct(
         F.transform(F.map_keys("_phrases"), lambda p: F.get(pieces(p), F.lit(0)))
     )
     matched = matched.withColumn("_firsts", firsts)
-    spans = F.array(*[F.lit(2 * k - 1) for k in range(MAX_JOINED_WORDS, 0, -1)])
     return matched, EntityMatcher(
-        RowLookup(F.col("_phrases")), F.col("_firsts"), [], spans
+        RowLookup(F.col("_phrases")), F.col("_firsts"), [], F.array(*[F.lit(n) for n in spans])
     )
 
 

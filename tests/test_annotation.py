@@ -18,12 +18,12 @@ from corpusmill.operators.annotate import annotate, register_annotator, unregist
 from corpusmill.operators.stopwords import ALL_STOP_WORDS
 
 TEXTS = [
-    "Apple Inc. is planning to release a new iPhone next year. The company's CEO Tim Cook is very excited about it.",
-    "Microsoft CEO Satya Nadella announced new AI features.",
-    "This is absolutely wonderful news!",
-    "This is terrible and disappointing.",
-    "Can you explain how neural networks work?",
-    "Neural networks are computational models.",
+    "A ferry run by Apple Inc sails from Kiel at noon. On deck its founder Tim Cook sells tea.",
+    "In the harbour office Satya Nadella of Microsoft counts the crates.",
+    "What a wonderful morning on the water!",
+    "The horrible rain came back, a worthless umbrella in hand.",
+    "Could somebody explain the tide table to me?",
+    "Tide tables list the hours of high water.",
 ]
 IN_ROW = AnnotationConfig(enable_keywords=False)
 
@@ -46,11 +46,11 @@ def test_all_annotations(spark):
     assert found[4].instruction.is_instruction and found[4].instruction.command_words == ["explain"]
     assert not found[5].instruction.is_instruction
     assert tuple(found[0].language) == ("en", 1.0)
-    assert "release" in {k.text for k in found[0].keywords}
+    assert "ferry" in {k.text for k in found[0].keywords}
 
 
 def test_blank_and_null_have_no_annotation(spark):
-    found = annotated(spark, ["Apple is a tech company.", "Google develops Android.", "", "  \n", None])
+    found = annotated(spark, ["Boats leave at dawn.", "Gulls follow them.", "", "  \n", None])
     assert found[0] is not None and found[1] is not None
     assert found[2] is None and found[3] is None and found[4] is None
 
@@ -97,7 +97,10 @@ WORDS = st.sampled_from(["New", "York", "City", "Apple", "the", " ", " ", "  ",
 @given(st.lists(st.lists(WORDS, max_size=25).map("".join), min_size=1, max_size=30))
 def test_joined_gazetteer_equals_literal_gazetteer(spark, texts):
     """A gazetteer too large for the expression takes the join, with the same result."""
-    gazetteer = {"New York": "GPE", "York City": "GPE", "Apple": "ORG", "New York City Apple": "LONG"}
+    gazetteer = {
+        "New York": "GPE", "York City": "GPE", "Apple": "ORG", "New York City Apple": "LONG", ".": "DOT", "York.": "END",
+        "a@b.co 42": "X", "New York City the Apple New": "SIX", "-the": "DASH",
+    }
     table = spark.createDataFrame(sorted(gazetteer.items()), "phrase string, label string")
     docs = frame(spark, texts)
     results = []
@@ -211,7 +214,6 @@ def test_annotation_by_sentence(spark):
     lookup = tagging.LiteralLookup(tagging.DEFAULT_TAGS)
     docs = frame(spark, [TEXTS[0], None])
     rows = docs.select(tagging.sentence_annotations(F.col("text"), matcher, lookup).alias("a")).collect()
-    # "Inc." ends a sentence for the simple sentence rule.
-    assert [[e.text for e in a.entities] for a in rows[0].a] == [["Apple Inc"], [], ["Tim Cook"]]
+    assert [[e.text for e in a.entities] for a in rows[0].a] == [["Apple Inc"], ["Tim Cook"]]
     assert all(a.sentiment == 0.0 and len(a.tokens) == len(a.pos_tags) for a in rows[0].a)
     assert rows[1].a is None

@@ -1,5 +1,5 @@
-import re
 import unicodedata
+from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -10,7 +10,7 @@ from corpusmill.functions import cleaning, gates
 from corpusmill.functions.text import strip, two_decimals
 from corpusmill.plans.processing import clean_aligned, clean_texts
 
-GOOD = "This is a good quality text with proper length and structure."
+GOOD = "The mill by the river grinds barley in autumn and rye in spring."
 
 
 def one(spark, text, step):
@@ -18,8 +18,8 @@ def one(spark, text, step):
 
 
 def test_signature_is_cut(spark):
-    text = "Important content\nBest regards,\nJohn Doe"
-    assert one(spark, text, cleaning.remove_boilerplate) == "Important content"
+    text = "The barley is milled.\nBest regards,\nthe miller"
+    assert one(spark, text, cleaning.remove_boilerplate) == "The barley is milled."
 
 
 def test_boilerplate_inside_words(spark):
@@ -27,8 +27,8 @@ def test_boilerplate_inside_words(spark):
 
 
 def test_format(spark):
-    text = "Multiple    spaces   and\n\n\nextra breaks"
-    expected = "Multiple spaces and\n\nextra breaks"
+    text = "sacks   of    rye\n\n\n\nand  of oats"
+    expected = "sacks of rye\n\nand of oats"
     assert one(spark, text, cleaning.standardize_format) == expected
     off = CleaningConfig(fix_spacing=False)
     assert one(spark, f"  {text} ", lambda t: cleaning.standardize_format(t, off)) == text
@@ -36,7 +36,7 @@ def test_format(spark):
 
 def test_quotes_and_control_characters(spark):
     assert one(spark, "“a” ‘b’", cleaning.straighten_quotes) == "\"a\" 'b'"
-    assert one(spark, "and\n\nextra\t", cleaning.remove_control_chars) == "andextra"
+    assert one(spark, "rye\n\noats\t", cleaning.remove_control_chars) == "ryeoats"
     spaced = CleaningConfig(control_replacement=" ")
     assert one(spark, "a\nb", lambda t: cleaning.clean_special_chars(t, spaced)) == "a b"
 
@@ -48,7 +48,7 @@ def test_urls_are_dropped_on_request(spark):
 
 def test_gates(spark):
     rows = spark.createDataFrame(
-        [(GOOD,), ("too short",), (None,), ("",), ("averyverylongsingleword indeed",)], "t string"
+        [(GOOD,), ("one sack",), (None,), ("",), ("averyverylongsingleword indeed",)], "t string"
     )
     passed = rows.select(gates.quality_ok(F.col("t"), F.lit(False)).alias("ok")).collect()
     assert [r.ok for r in passed] == [True, False, False, False, False]
@@ -62,39 +62,53 @@ def test_long_text_without_entity_is_rejected(spark):
 
 
 def test_batch_and_aligned(spark):
-    texts = ["Good quality text example", "too short", None, "Another good example with proper length"]
+    texts = ["Forty sacks went to town", "one sack", None, "The wheel stood still for a week"]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     assert clean_texts(rows, "t").count() == 2
     aligned = {r.i: r.t_cleaned for r in clean_aligned(rows, "t").collect()}
     assert aligned == {0: texts[0], 1: "", 2: "", 3: texts[3]}
 
 
-def python_clean(text):
-    """The cleaning rules once more, in plain Python."""
-    text = re.sub(r"(?i)(confidential|private|all rights reserved|copyright)", "", text)
-    text = re.sub(r"(?is)best regards.*\Z", "", text).strip()
-    text = re.sub(r"\n\s*\n", "\n\n", text)
-    text = "\n".join(re.sub(r"\s+", " ", line.strip()) for line in text.split("\n")).strip()
-    text = "".join(c for c in text if not unicodedata.category(c).startswith("C"))
-    return text.translate(str.maketrans("“”‘’", "\"\"''"))
+# Cleaned by hand. Control characters go and glue what they part.
+BY_HAND = [
+    ("  plain  words\there ", "plain words here"),
+    ("first\n\n\n\nsecond", "firstsecond"),
+    ("Copyright 2020 by us", "2020 by us"),
+    ("say it\nBEST REGARDS\nall of us", "say it"),
+    ("“so” ‘it’ goes", "\"so\" 'it' goes"),
+    ("a\x0bb\x85c", "a b c"),
+    ("zero\u200bwidth", "zerowidth"),
+    ("", ""),
+]
+
+
+def test_clean_by_hand(spark):
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(BY_HAND)], "i int, t string")
+    got = {r.i: r.c for r in rows.select("i", cleaning.clean(F.col("t")).alias("c")).collect()}
+    assert got == {i: c for i, (_, c) in enumerate(BY_HAND)}
 
 
 # Letters, blanks of all kinds, marks and formulas; code points that Java knows too.
 ATOMS = st.sampled_from(
-    list("aB é.,“‘\n\t\r\x0b\x1c\x85 ​　 ") + ["private", "Best Regards", "©", "😀"]
+    list("aB é.,“‘\n\t\r\x0b\x1c\x85\xa0\u200b\ufeff\u3000 ") + ["private", "Best Regards", "©", "😀"]
 )
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(ATOMS, max_size=40).map("".join), min_size=1, max_size=40))
-def test_clean_equals_plain_python(spark, texts):
+def test_properties_of_cleaned_texts(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    got = {r.i: (r.c, r.s, r.n) for r in rows.select(
-        "i", cleaning.clean(F.col("t")).alias("c"), strip(F.col("t")).alias("s"),
-        gates.word_count(F.col("t")).alias("n"),
-    ).collect()}
-    for i, text in enumerate(texts):
-        assert got[i] == (python_clean(text), text.strip(), len(text.split()))
+    found = rows.select(
+        "i", cleaning.clean(F.col("t")).alias("c"), strip(F.col("t")).alias("s"), gates.word_count(F.col("t")).alias("n")
+    ).collect()
+    for r in found:
+        text = texts[r.i]
+        assert r.s == text.strip() and r.n == len(text.split())
+        assert not any(unicodedata.category(c).startswith("C") for c in r.c)
+        assert not set(r.c) & set("“”‘’")
+        assert "best regards" not in r.c.lower() and "private" not in r.c.lower()
+        letters = Counter(c for c in text if c.isalnum())
+        assert not Counter(c for c in r.c if c.isalnum()) - letters
 
 
 def test_two_decimals_rounds_like_python(spark):
