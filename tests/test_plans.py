@@ -60,10 +60,9 @@ def test_examples_are_limited_before_the_shuffle(docs):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_large_tables_are_not_dealt_out(spark, docs):
-    wide = spark.range(100, numPartitions=64)
-    assert "Exchange" not in plan(spread(wide))
-    assert "RoundRobin" in plan(spread(docs.coalesce(1)))
+def test_rows_are_dealt_out_on_request_only(docs):
+    assert "Exchange" not in plan(spread(docs.coalesce(1), None))
+    assert "RoundRobin" in plan(spread(docs.coalesce(1), 4))
 
 
 @pytest.mark.parametrize(

@@ -144,3 +144,18 @@ def test_rules_can_be_added(spark):
         [NoEmptyText(), rules.SpecialCharacterRule()],
     )
     assert sorted(r.rule for r in both.collect()) == ["No empty text", "Special Character Validation"]
+
+
+def test_a_failing_relationship_is_an_issue(spark):
+    def fails(df):
+        raise ValueError("no rates today")
+
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    rule = rules.CrossFieldConsistencyRule()
+    rule.add_relationship(["a"], fails, "fails")
+    rule.add_relationship(["a"], lambda d: d.where("nothing > 1"), "unknown column")
+    rule.add_relationship(["a", "b"], F.col("a") < F.col("b"), "a below b")
+    found = [r.message for r in rule.issues(df).collect()]
+    assert "Found 1 violations of: a below b" in found
+    assert "Validation failed for fields ['a']: no rates today" in found
+    assert len(found) == 3

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.config import AnnotationConfig
 from corpusmill.operators.annotate import annotate
@@ -45,6 +46,48 @@ def test_json_layouts(spark, tmp_path):
         readers.read_dataset(spark, "x.xml")
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "jsonl", "parquet"])
+def test_written_tables_come_back_whole(spark, tmp_path, fmt):
+    rows = [(i, f"text {i}", f"2 lines\nof {i}" if i % 3 else "one") for i in range(23)] + [(23, "last", "x, \"y\"")]
+    df = spark.createDataFrame(rows, "n bigint, t string, u string").repartition(3)
+    path = str(tmp_path / f"d.{fmt}")
+    writers.write_table(df, path, fmt)
+    back = readers.read_dataset(spark, path).select("n", "t", "u")
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_json_documents_are_all_read(spark, tmp_path):
+    (tmp_path / "d.json").mkdir()
+    (tmp_path / "d.json" / "a.json").write_text('{"a": 1}\n{"a": 2}\n{"a": 3}\n')
+    (tmp_path / "d.json" / "b.json").write_text('[{"a": 4},\n {"a": 5}]\n{\n"a": 6}\n')
+    (tmp_path / "d.json" / "c.json").write_text('{"a": {"0": 7, "1": 8}}')
+    (tmp_path / "e.json").write_text('{"a": {"0": 1}}\n{"a": {"0": 2, "1": 3}}\n')
+    assert sorted(r.a for r in readers.read_dataset(spark, str(tmp_path / "d.json")).collect()) == list(range(1, 9))
+    assert sorted(r.a for r in readers.read_dataset(spark, str(tmp_path / "e.json")).collect()) == [1, 2, 3]
+    for bad in ('[{"a": 1}] tail', '[{"a": 1} {"a": 2}]', "17", '{"a": 1'):
+        (tmp_path / "f.json").write_text(bad)
+        with pytest.raises(Exception, match="malformed JSON"):
+            readers.read_dataset(spark, str(tmp_path / "f.json")).collect()
+
+
+def test_numbers_beyond_bigint_and_schemas(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,m,t\n1234567890123456789,12345678901234567890,NA\n1234567890123456788,1,x\n")
+    df = readers.read_dataset(spark, str(tmp_path / "a.csv"))
+    assert dict(df.dtypes) == {"k": "bigint", "m": "string", "t": "string"}
+    assert sorted(r.k for r in df.collect()) == [1234567890123456788, 1234567890123456789]
+    schema = T.StructType().add("k", "long").add("m", "string").add("t", "string")
+    assert [r.t for r in readers.read_dataset(spark, str(tmp_path / "a.csv"), schema=schema).collect()] == [None, "x"]
+
+
+def test_listing_below_a_folder_with_an_extension(spark, tmp_path):
+    root = tmp_path / "dump.csv" / "raw"
+    (root / "y").mkdir(parents=True)
+    (root / "a.json").write_text("[]")
+    (root / "y" / "b.csv").write_text("x\n1\n")
+    found = {r.path.split("/raw", 1)[1] for r in list_datasets(spark, str(root)).collect()}
+    assert found == {"/a.json", "/y/b.csv"}
+
+
 def test_text_columns(spark):
     df = spark.createDataFrame(
         [("short", "a long enough text", None, 1), ("tiny", "another long text", None, 2)],
