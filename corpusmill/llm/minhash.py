@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, small_batches
 
 BANDS = 40
 ROWS = 6
@@ -294,6 +294,7 @@ def near_duplicates(
     with the representative's id are all kept. ``id_hash`` and ``version`` are hashes of the id and
     the text. An empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(
         F.col(f"`{key}`").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")
     ).withColumns({"id_hash": F.xxhash64("doc"), "version": F.xxhash64("text")})

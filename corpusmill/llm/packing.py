@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed_texts, saved
+from .common import keyed_texts, saved, small_batches
 
 CAPACITY = 2048
 _CHUNK = 64
@@ -196,6 +196,7 @@ def pack(
     ``capacity`` is cut; its first piece takes what is over. Sequences have no gaps. Each row
     is packed, repeated rows and null ids too. An empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     pieces = saved(token_pieces(keyed_texts(docs, key, text), tokenizer, end_id, capacity), "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     offsets = by_part.selectExpr(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
-from .common import free_name
+from .common import free_name, small_batches
 
 
 @dataclass(frozen=True)
@@ -350,6 +350,7 @@ def find_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     Rows are independent: repeated rows and null ids make no difference.
     """
 
+    small_batches(docs.sparkSession)
     handed = docs.sparkSession.sparkContext.broadcast(scanner(rules))
 
     @F.pandas_udf("array<struct<kind string, start bigint, end bigint>>")

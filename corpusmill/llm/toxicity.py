@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
-from .common import free_name, keyed_texts, saved
+from .common import free_name, keyed_texts, saved, small_batches
 
 ORDER = 5
 OWN_ORDER = 3
@@ -41,8 +41,8 @@ MAX_LABELLED = 20_000
 _BUCKETS = 1 << BITS
 _WORD = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_TEXTS_AT_ONCE = 500
-_CHARS_AT_ONCE = 4_000_000
+_TEXTS_AT_ONCE = 250
+_CHARS_AT_ONCE = 1_000_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -323,6 +323,7 @@ def score_documents(
     are all 0. Equal texts score alike. An empty table gives an empty table; without
     labels of both classes nothing is predicted toxic.
     """
+    small_batches(docs.sparkSession)
     known = labels.select(F.col(key).alias("doc"), F.col(label).alias("toxic")).where(
         ~held_out(F.col("doc"))
     )

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import named
 from ..session import scratch_path
-from .common import saved
+from .common import saved, small_batches
 
 BLOCK_LINES = 1000
 MAX_BLOCKS = 100_000
@@ -309,6 +309,7 @@ def archive_round_trip(
 ) -> DataFrame:
     """(key, payload_bytes, payload_digest, record_type, refers_to): pages written, indexed, looked up
     by URL key and page, and read again. Repeated rows have a record each; an empty table gives an empty table."""
+    small_batches(spark)
     folder = scratch_path(spark, "archives")
     captures = write_archives(pages, folder, key, url, html, min_revisit_bytes)
     directory = build_index(captures, folder)
