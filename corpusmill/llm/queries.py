@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, line_dedup, minhash, packing, secret_scan, toxicity, url_filter, warc
+from . import decontaminate, fingerprint, license_scan, line_dedup, minhash, packing, secret_scan, toxicity, url_filter, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ def op1_packing(spark, folder):
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op2_licenses(spark, folder):
+    """A row for each notice found."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return license_scan.find_licenses(docs).select("doc_id", F.inline("licenses"))
+
+
 @query
 def op3_toxicity(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
