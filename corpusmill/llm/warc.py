@@ -217,11 +217,12 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     )
 
 
-def look_up(wanted: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+def look_up(wanted: DataFrame, directory: DataFrame, folder: str, parts: int | None = None) -> DataFrame:
     """(page, file, at, length) of the records of ``wanted`` (url_key, page); one row for each record.
 
     The directory is bounded by ``MAX_BLOCKS`` and goes to every task. Each block that has wanted
-    keys is read once, by one task, and searched for each of them.
+    keys is read once, by one task, and searched for each of them. ``parts`` tasks share the blocks;
+    the rows that tell of them are small, so Spark would give them to too few.
     """
     blocks = sorted(tuple(r) for r in directory.select("url_key", "page", "file", "at", "length").collect())
     handed = wanted.sparkSession.sparkContext.broadcast(blocks)
@@ -256,17 +257,18 @@ def look_up(wanted: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
         wanted.select("url_key", "page")
         .distinct()
         .select("url_key", "page", F.explode(blocks_of("url_key", "page")).alias("block"))
-        .repartition("block")
+        .repartition(parts or max(1, len(blocks)), "block")
         .sortWithinPartitions("block", "url_key", "page")
         .mapInPandas(search, "page string, file string, at bigint, length bigint")
     )
 
 
-def read_records(places: DataFrame, folder: str) -> DataFrame:
+def read_records(places: DataFrame, folder: str, parts: int | None = None) -> DataFrame:
     """(page, payload_bytes, payload_digest, record_type, refers_to, payload): the records at ``places``.
 
     Length and digest of a response are those of the payload that was read, and a digest that
-    differs from the header's is an error. Reads go through each archive in order.
+    differs from the header's is an error. ``parts`` tasks share the archives in chunks and
+    read each chunk in order.
     """
 
     def read(batches):
@@ -295,7 +297,7 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
 
     chunk = (F.col("at") / READ_CHUNK).cast("bigint")
     return (
-        places.repartition("file", chunk)
+        places.repartition(parts or places.sparkSession.sparkContext.defaultParallelism, "file", chunk)
         .sortWithinPartitions("file", "at")
         .mapInPandas(
             read,
@@ -322,7 +324,9 @@ def archive_round_trip(
         url_key(named(url).cast("string")).alias("url_key"), F.coalesce(named(key).cast("string"), F.lit("")).alias("page")
     )
     kind = pages.schema[key].dataType
-    found = read_records(look_up(wanted, directory, folder), folder)
+    size = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    parts = max(spark.sparkContext.defaultParallelism, 4 * size // READ_CHUNK)
+    found = read_records(look_up(wanted, directory, folder, parts), folder, parts)
     return found.select(
         F.when(F.col("page") != "", F.col("page")).cast(kind).alias(key),
         "payload_bytes",
