@@ -174,7 +174,8 @@ def contaminated(
     cut_items = item_texts.select(
         F.xxhash64("item_text").alias("item_version"), tokens(F.col("item_text")).alias("item_tokens")
     )
-    cut_docs = source.dropDuplicates(["id_hash", "version"]).select("id_hash", "version", "text")
+    # Only the texts with such an alignment go on; repeated rows meet again in the last grouping.
+    cut_docs = source.select("id_hash", "version", "text")
     places = F.array_distinct(
         F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("size") - 1)))
     )
