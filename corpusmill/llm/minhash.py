@@ -20,6 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import saved, small_batches
 
@@ -29,18 +30,21 @@ BITS = 4
 WORDS = BANDS * ROWS * BITS // 64
 MARGIN = 4.0
 CELL = 256
+FINE = 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_COLUMNS = 2048
+_PRODUCTS = 500_000  # of shingles and hash functions at once
 _LOW = 0x1111111111111111
 
 
-def _constants() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20)
-    factors = rng.integers(0, 2**63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return factors, rng.integers(0, 2**63, size=BANDS * ROWS, dtype=np.uint64)
+def _functions(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and offsets of ``n`` hash functions."""
+    rng = np.random.default_rng(seed)
+    factors = rng.integers(0, 2**63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, rng.integers(0, 2**63, size=n, dtype=np.uint64)
 
 
-_FACTORS, _OFFSETS = _constants()
+_COARSE_FUNCTIONS = _functions(20, BANDS * ROWS)
+_FINE_FUNCTIONS = _functions(21, FINE)
 
 
 def _mixed(parts) -> np.ndarray:
@@ -65,10 +69,12 @@ def shingle_set(text: str, width: int) -> np.ndarray:
         return np.unique(_mixed([hashes[i : i + n] for i in range(width)]))
 
 
-def _minima(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingles), _COLUMNS):
-        part = shingles[None, at : at + _COLUMNS] * _FACTORS[:, None] + _OFFSETS[:, None]
+def _minima(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray] = _COARSE_FUNCTIONS) -> np.ndarray:
+    factors, offsets = functions
+    step = max(1, _PRODUCTS // len(factors))
+    least = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(shingles), step):
+        part = shingles[None, at : at + step] * factors[:, None] + offsets[:, None]
         np.minimum(least, part.min(axis=1), out=least)
     return least
 
@@ -76,13 +82,22 @@ def _minima(shingles: np.ndarray) -> np.ndarray:
 def _packed(minima: np.ndarray) -> np.ndarray:
     low = (minima >> np.uint64(20)) & np.uint64((1 << BITS) - 1)
     shifts = np.arange(0, 64, BITS, dtype=np.uint64)
-    return np.bitwise_or.reduce(low.reshape(WORDS, -1) << shifts, axis=1)
+    return np.bitwise_or.reduce(low.reshape(-1, 64 // BITS) << shifts, axis=1)
 
 
 def _band_keys(minima: np.ndarray) -> np.ndarray:
     return _mixed([np.arange(1, BANDS + 1, dtype=np.uint64), *minima.reshape(BANDS, ROWS).T])
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _fine_signature(sets: pd.Series) -> pd.Series:
+    with np.errstate(over="ignore"):
+        return pd.Series(
+            [_packed(_minima(np.frombuffer(s, dtype=np.uint64), _FINE_FUNCTIONS)).view(np.int64) for s in sets],
+            dtype=object,
+        )
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """The input with ``m``: struct<set_id, n, packed, bands>; n is 0 for an empty set.
 
@@ -109,23 +124,37 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.withColumn("m", sign("text"))
 
 
+def _equal_groups(a: Column, b: Column) -> Column:
+    """How many groups of bits two words share."""
+    x = a.bitwiseXOR(b)
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(_LOW))
+    return F.lit(64 // BITS) - F.bit_count(x)
+
+
+def _corrected(equal: Column, functions: int) -> Column:
+    chance = 1 / 2**BITS
+    return (equal / functions - chance) / (1 - chance)
+
+
 def estimate(left: list[Column], right: list[Column]) -> Column:
     """Similarity from packed words: the share of equal groups of bits, less chance collisions."""
     equal = F.lit(0)
     for a, b in zip(left, right, strict=True):
-        x = a.bitwiseXOR(b)
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(_LOW))
-        equal = equal + (64 // BITS - F.bit_count(x))
-    chance = 1 / 2**BITS
-    return (equal / (BANDS * ROWS) - chance) / (1 - chance)
+        equal = equal + _equal_groups(a, b)
+    return _corrected(equal, BANDS * ROWS)
+
 
+def _fine_estimate(left: Column, right: Column) -> Column:
+    equal = F.aggregate(F.zip_with(left, right, _equal_groups), F.lit(0), lambda n, x: n + x)
+    return _corrected(equal, FINE)
 
-def _bound(similarity: float) -> float:
+
+def _bound(similarity: float, functions: int = BANDS * ROWS) -> float:
     """What an estimate of a linked pair falls below with a chance of 3 in 100,000 at most."""
     chance = 1 / 2**BITS
     p = similarity + (1 - similarity) * chance
-    return similarity - MARGIN * (p * (1 - p) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
+    return similarity - MARGIN * (p * (1 - p) / functions) ** 0.5 / (1 - chance)
 
 
 def components(links: DataFrame, label: str) -> DataFrame:
@@ -213,7 +242,8 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, linker
 
     In each bucket the classes outside its largest component meet all classes of other
     components there. A bucket is dealt into cells of about ``CELL`` by ``CELL`` classes, and a
-    pair counts in the first bucket it shares.
+    pair counts in the first bucket it shares. These classes get a second signature of
+    ``FINE`` functions, so that few pairs below the threshold are left to confirm.
     """
     placed = saved(
         members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
@@ -238,9 +268,16 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, linker
         ),
         "open-buckets",
     )
-    fields = ["n", *[f"w{i}" for i in range(WORDS)], "bands"]
-    own = classes.select("set_id", *fields)
-    known = saved(placed.join(buckets, "bucket").join(own, "set_id"), "open-members")
+    fields = ["n", *[f"w{i}" for i in range(WORDS)], "bands", "fine"]
+    opened = saved(placed.join(buckets, "bucket"), "open-places")
+    fine = saved(
+        linker.sets.join(opened.select("set_id").distinct(), "set_id", "left_semi").select(
+            "set_id", _fine_signature("shingles").alias("fine")
+        ),
+        "fine-signatures",
+    )
+    own = classes.select("set_id", *fields[:-1]).join(fine, "set_id")
+    known = saved(opened.join(own, "set_id"), "open-members")
     rest = known.where(F.col("root") != F.col("body")).select(
         "bucket",
         F.pmod(F.xxhash64("set_id"), "n_x").cast("int").alias("x_cell"),
@@ -271,6 +308,7 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, linker
             & (F.col("hub") != F.col("x_set_id"))
             & (F.col("hub") != F.col("y_set_id"))
             & linker.likely(*sides)
+            & (_fine_estimate(sides[0]["fine"], sides[1]["fine"]) >= _bound(linker.percent / 100, FINE))
             & (first_shared == rest["bucket"]),
         )
         .select(F.col("x_set_id").alias("a"), F.col("y_set_id").alias("b"))
