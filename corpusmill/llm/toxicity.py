@@ -12,13 +12,16 @@ words, and the number of words with a ratio above ``STRONG`` by the square root
 toxic text may be mostly ordinary words. Weights and a bias, fitted on labelled texts that the
 models have not seen, turn them into a probability.
 
-Counts live in arrays of ``2 ** BITS`` buckets, so a model's size does not grow.
+Nothing is capped: the continuation counts are a table of exact character pairs that grows with
+the corpus. Pairs with a share of at least ``HOT_SHARE`` (there can be no more than 1,000,000) are
+broadcast; a text that holds a rarer one gets its counts by a join. The grams of the two classes, of
+labelled texts only, have 64-bit keys; what is kept by single characters is bounded by Unicode.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -31,14 +34,21 @@ from .common import free_name, keyed_texts, saved, small_batches
 
 ORDER = 5
 OWN_ORDER = 3
-BITS = 19
 DISCOUNT = 0.75
 WINDOW = 10
 STRONG = 2.5
 TOPS = (1, 3, 6)
 N_FEATURES = 3 + len(TOPS)
 MAX_LABELLED = 20_000
-_BUCKETS = 1 << BITS
+# Character pairs at least this frequent among the continuation counts are broadcast. No more
+# than 1 / HOT_SHARE pairs can have that share.
+HOT_SHARE = 1e-6
+_CODE_BITS = 21
+_CODES = 0x110000
+_ONE = (1 << _CODE_BITS) - 1
+_PAIR = (1 << 2 * _CODE_BITS) - 1
+# What a task remembers to save work, in words, characters and grams; it starts anew beyond.
+_WORDS_KEPT, _CHARS_KEPT, _GRAMS_KEPT = 200_000, 4_000_000, 1_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TEXTS_AT_ONCE = 250
@@ -50,7 +60,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Grams:
-    """The padded characters of words, and the bucket of each gram that ends at a character."""
+    """The padded characters of words, and the key of each gram that ends at a character."""
 
     def __init__(self, words: list[str]):
         lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
@@ -61,45 +71,90 @@ class Grams:
         self.at = np.repeat(ends - lengths, lengths) + inside
         self.word = np.repeat(np.arange(len(words)), lengths)
 
-    def bucket(self, first: int, last: int) -> np.ndarray:
-        """Of the characters from ``first`` to ``last`` places back."""
+    def key(self, first: int, last: int) -> np.ndarray:
+        """A 64-bit hash of the characters from ``first`` to ``last`` places back."""
         h = np.full(len(self.at), first - last + 1, dtype=np.uint64)
         for back in range(first, last - 1, -1):
             h = (h ^ self.chars[self.at - back]) * _MIX
             h ^= h >> np.uint64(29)
-        return ((h * _MIX) >> np.uint64(64 - BITS)).astype(np.int64)
+        return (h * _MIX).view(np.int64)
 
     def gram(self, order: int) -> np.ndarray:
-        return self.bucket(order - 1, 0)
+        return self.key(order - 1, 0)
 
     def context(self, order: int) -> np.ndarray:
-        return self.bucket(order - 1, 1) if order > 1 else np.zeros(len(self.at), dtype=np.int64)
+        return self.key(order - 1, 1)
+
+    def codes(self, order: int) -> np.ndarray:
+        """The last ``order`` characters themselves, three at most."""
+        out = np.zeros(len(self.at), dtype=np.int64)
+        for back in range(order - 1, -1, -1):
+            out = (out << _CODE_BITS) | self.chars[self.at - back].astype(np.int64)
+        return out
+
+
+def _look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each wanted key in the sorted ``keys``, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
 
 
 @dataclass
 class ToxicityModel:
-    """share[order]: discounted probabilities by gram; rest[order]: what is left for the backoff,
-    by context. Orders from OWN_ORDER have a row for each class (0 ordinary, 1 toxic)."""
+    """What a word's characters are scored by.
 
-    share: dict[int, np.ndarray]
-    rest: dict[int, np.ndarray]
+    By code point: ``one``, the probability of a character by itself; ``total`` and ``rest``, the
+    continuation counts after a character and what is left for the backoff. ``pairs`` and ``n_pairs``: the frequent
+    pairs and their continuation counts. ``grams[order]`` and ``contexts[order]``: sorted keys with a row for
+    each class (0 ordinary, 1 toxic), of discounted probabilities and of what is left for the backoff.
+    """
 
-    def ratios(self, words: list[str]) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) of each word."""
+    one: np.ndarray
+    total: np.ndarray
+    rest: np.ndarray
+    pairs: np.ndarray
+    n_pairs: np.ndarray
+    grams: dict[int, tuple[np.ndarray, np.ndarray]]
+    contexts: dict[int, tuple[np.ndarray, np.ndarray]]
+    known: dict[str, float] = field(default_factory=dict)
+
+    def ratios(self, words: list[str], rare: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """log P(word | toxic) - log P(word | ordinary) of each word. ``rare``: the sorted pairs, with their
+        counts, that the words hold and ``pairs`` lacks."""
         grams = Grams(words)
-        p = np.full(len(grams.at), 1e-4)
-        for order in range(1, OWN_ORDER):
-            p = self.share[order][grams.gram(order)] + self.rest[order][grams.context(order)] * p
+        pair = grams.codes(2)
+        at, there = _look_up(self.pairs, pair)
+        n = np.where(there, self.n_pairs[at] if len(self.pairs) else 0.0, 0.0)
+        if rare is not None and len(rare[0]):
+            at, there = _look_up(rare[0], pair)
+            n = np.where(there, rare[1][at], n)
+        before = pair >> _CODE_BITS
+        p = np.maximum(n - DISCOUNT, 0) / np.maximum(self.total[before], 1) + self.rest[before] * self.one[pair & _ONE]
         both = [p, p]
         for order in range(OWN_ORDER, ORDER + 1):
-            gram, context = grams.gram(order), grams.context(order)
-            both = [
-                self.share[order][c][gram] + self.rest[order][c][context] * both[c] for c in (0, 1)
-            ]
+            keys, share = self.grams[order]
+            at, there = _look_up(keys, grams.gram(order))
+            own = np.where(there, share[:, at], 0.0) if len(keys) else np.zeros((2, len(pair)))
+            keys, left = self.contexts[order]
+            at, there = _look_up(keys, grams.context(order))
+            rest = np.where(there, left[:, at], 1.0) if len(keys) else np.ones((2, len(pair)))
+            both = [own[c] + rest[c] * both[c] for c in (0, 1)]
         step = np.log(np.maximum(both[1], 1e-9)) - np.log(np.maximum(both[0], 1e-9))
         return np.bincount(grams.word, step, len(words))
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
+    def ratios_of(self, words: list[str], rare: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+        """The same; words met before are not scored again."""
+        new = [w for w in words if w not in self.known]
+        if new:
+            if len(self.known) + len(new) > _WORDS_KEPT:
+                self.known.clear()
+                new = words
+            self.known.update(zip(new, self.ratios(new, rare).tolist(), strict=True))
+        return np.array([self.known[w] for w in words])
+
+    def features(self, texts: list[str | None], rare: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """A row of ``N_FEATURES`` for each text; zeros without a word."""
         out = np.zeros((len(texts), N_FEATURES))
         for start, stop in _portions(texts):
@@ -107,7 +162,7 @@ class ToxicityModel:
             kinds = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
             if not kinds:
                 continue
-            ratio = self.ratios(list(kinds))
+            ratio = self.ratios_of(list(kinds), rare)
             length = np.array([len(w) + 1 for w in kinds])
             for i, ws in enumerate(split):
                 if not ws:
@@ -128,8 +183,10 @@ class ToxicityModel:
                 ]
         return out
 
-    def score(self, texts: list[str | None], weights: tuple[float, ...]) -> np.ndarray:
-        z = self.features(texts) @ np.array(weights[:-1]) + weights[-1]
+    def score(
+        self, texts: list[str | None], weights: tuple[float, ...], rare: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> np.ndarray:
+        z = self.features(texts, rare) @ np.array(weights[:-1]) + weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -146,34 +203,77 @@ def _portions(texts):
         yield start, len(texts)
 
 
-def _corpus_grams(texts: DataFrame) -> DataFrame:
-    """(order, longer, gram, context): the distinct grams of orders up to OWN_ORDER in all texts,
-    by bucket, with the bucket of the gram without its first and without its last character."""
+def _corpus_pairs(texts: DataFrame) -> DataFrame:
+    """(pair, n): each pair of characters in the words of all texts, and how many different characters
+    precede it. A pair is its two code points."""
 
     def run(batches):
-        seen = np.zeros((OWN_ORDER + 1, _BUCKETS), dtype=bool)  # what this task has told already
+        # What this task has told already; to tell a gram again makes no difference.
+        words: set[str] = set()
+        chars, seen = 0, np.empty(0, dtype=np.int64)
         for batch in batches:
             column = list(batch["text"])
             for start, stop in _portions(column):
-                kinds = list(dict.fromkeys(w for t in column[start:stop] for w in words_of(t)))
+                kinds = list({w for t in column[start:stop] for w in words_of(t)} - words)
+                if not kinds:
+                    continue
+                words.update(kinds)
+                chars += sum(map(len, kinds))
+                if len(words) > _WORDS_KEPT or chars > _CHARS_KEPT:
+                    words, chars = set(), 0
+                keys = np.unique(Grams(kinds).codes(3))
+                fresh = keys[~_look_up(seen, keys)[1]]
+                if len(fresh):
+                    seen = fresh if len(seen) > _GRAMS_KEPT else np.union1d(seen, fresh)
+                    yield pd.DataFrame({"gram": fresh})
+
+    return (
+        texts.select("text")
+        .mapInPandas(run, "gram bigint")
+        .distinct()
+        .groupBy(F.col("gram").bitwiseAND(F.lit(_PAIR)).alias("pair"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _rare_pairs(texts: DataFrame, handed: Broadcast, rare: DataFrame) -> DataFrame:
+    """(version, pairs, counts) of the texts that hold pairs which the model lacks; version is the text's hash."""
+
+    def run(batches):
+        plain: set[str] = set()  # words without such a pair
+        for batch in batches:
+            for version, text in zip(batch["version"], batch["text"], strict=True):
+                kinds = [w for w in dict.fromkeys(words_of(text)) if w not in plain]
                 if not kinds:
                     continue
                 grams = Grams(kinds)
-                for order in range(2, OWN_ORDER + 1):
-                    bucket = grams.gram(order)
-                    fresh = ~seen[order][bucket]
-                    longer, first = np.unique(bucket[fresh], return_index=True)
-                    seen[order][longer] = True
-                    yield pd.DataFrame(
-                        {
-                            "longer": longer,
-                            "gram": grams.gram(order - 1)[fresh][first],
-                            "context": grams.context(order - 1)[fresh][first],
-                            "order": order - 1,
-                        }
-                    )
+                pair = grams.codes(2)
+                lacks = ~_look_up(handed.value.pairs, pair)[1]
+                if len(plain) > _WORDS_KEPT:
+                    plain = set()
+                held = np.bincount(grams.word, lacks, len(kinds)) > 0
+                plain.update(w for w, h in zip(kinds, held, strict=True) if not h and len(w) < 100)
+                if lacks.any():
+                    yield pd.DataFrame({"pair": np.unique(pair[lacks])}).assign(version=version)
+
+    return (
+        texts.select(F.xxhash64("text").alias("version"), "text")
+        .mapInPandas(run, "pair bigint, version bigint")
+        .distinct()
+        .join(rare, "pair")
+        .groupBy("version")
+        .agg(F.collect_list(F.struct("pair", "n")).alias("held"))  # the text's own pairs at most
+        .select("version", F.col("held.pair").alias("pairs"), F.col("held.n").alias("counts"))
+    )
 
-    return texts.select("text").mapInPandas(run, "longer bigint, gram bigint, context bigint, order int").distinct()
+
+def _merged(pairs: pd.Series, counts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of some texts in order, each once, and their counts."""
+    held = [(p, n) for p, n in zip(pairs, counts, strict=True) if p is not None]
+    if not held:
+        return np.empty(0, dtype=np.int64), np.empty(0)
+    found, first = np.unique(np.concatenate([p for p, _ in held]), return_index=True)
+    return found, np.concatenate([n for _, n in held]).astype(float)[first]
 
 
 def _class_grams(labelled: DataFrame) -> DataFrame:
@@ -209,14 +309,46 @@ def _class_grams(labelled: DataFrame) -> DataFrame:
     )
 
 
-def _discounted(rows: pd.DataFrame, n: str) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities by gram bucket, and the mass left to the backoff by context bucket."""
-    n_of, gram, context = (rows[c].to_numpy() for c in (n, "gram", "context"))
-    total = np.bincount(context, n_of, _BUCKETS)
-    different = np.bincount(context, n_of > 0, _BUCKETS)
-    share = np.bincount(gram, np.maximum(n_of - DISCOUNT, 0) / np.maximum(total[context], 1), _BUCKETS)
-    rest = np.where(total > 0, DISCOUNT * different / np.maximum(total, 1), 1.0)
-    return share.astype(np.float32), rest.astype(np.float32)
+def _class_model(rows: pd.DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Grams with their discounted probabilities, and contexts with the mass left to the backoff, for each class."""
+    rows = rows.sort_values("gram")
+    contexts, context = np.unique(rows["context"].to_numpy(), return_inverse=True)
+    share, rest = [], []
+    for name in ("n0", "n1"):
+        n = rows[name].to_numpy()
+        total = np.bincount(context, n, len(contexts))
+        different = np.bincount(context, n > 0, len(contexts))
+        share.append(np.maximum(n - DISCOUNT, 0) / np.maximum(total[context], 1))
+        rest.append(np.where(total > 0, DISCOUNT * different / np.maximum(total, 1), 1.0))
+    return (rows["gram"].to_numpy(), np.stack(share).astype(np.float32)), (contexts, np.stack(rest).astype(np.float32))
+
+
+def _shared_model(pairs: DataFrame) -> tuple[dict[str, np.ndarray], DataFrame | None]:
+    """The model's parts from the continuation counts, and the pairs that are too many to broadcast (None: there are none)."""
+
+    def by_code(column: Column) -> pd.DataFrame:  # at most one row for each code point
+        return pairs.groupBy(column.alias("code")).agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n")).toPandas()
+
+    total, rest = np.zeros(_CODES), np.ones(_CODES)
+    before = by_code(F.shiftright("pair", _CODE_BITS))
+    code = before["code"].to_numpy(dtype=np.int64)
+    total[code] = before["n"].to_numpy(dtype=float)
+    rest[code] = DISCOUNT * before["kinds"].to_numpy(dtype=float) / total[code]
+    last = by_code(F.col("pair").bitwiseAND(F.lit(_ONE)))
+    kinds = last["kinds"].to_numpy(dtype=float)
+    all_kinds = max(kinds.sum(), 1.0)
+    one = np.full(_CODES, 1e-4 * (DISCOUNT * len(kinds) / all_kinds if len(kinds) else 1.0))
+    one[last["code"].to_numpy(dtype=np.int64)] += np.maximum(kinds - DISCOUNT, 0) / all_kinds
+    floor = float(total.sum()) * HOT_SHARE
+    hot = pairs.where(F.col("n") >= floor).toPandas().sort_values("pair")
+    parts = {
+        "one": one,
+        "total": total,
+        "rest": rest,
+        "pairs": hot["pair"].to_numpy(dtype=np.int64),
+        "n_pairs": hot["n"].to_numpy(dtype=float),
+    }
+    return parts, pairs.where(F.col("n") < floor) if floor > 1 else None
 
 
 def _labelled_texts(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -235,8 +367,8 @@ def _labelled_texts(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 def fit(
     docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
-) -> tuple[Broadcast, tuple[float, ...]]:
-    """A model, broadcast, and its weights, from (doc, text) ``docs``, all of which feed the backoff counts, and (doc, toxic)
+) -> tuple[Broadcast, DataFrame | None, tuple[float, ...]]:
+    """A model, broadcast, the pairs it leaves to a join, and its weights, from (doc, text) ``docs``, all of which feed the backoff counts, and (doc, toxic)
     ``labels``.
 
     The texts of at most ``max_labelled`` labelled ids, those of the smallest hash, serve
@@ -246,33 +378,30 @@ def fit(
     sample = saved(_labelled_texts(docs, labels, max_labelled), "labelled")
     fold = F.pmod("draw", F.lit(5))
     own = _class_grams(sample.where(fold != 0))
-    shared = (
-        saved(_corpus_grams(docs), "corpus-grams")
-        .groupBy("order", "gram", "context")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # Both have at most one row for each bucket of gram and order, but for buckets that hold
-    # grams of several contexts.
-    own_rows, shared_rows = own.toPandas(), shared.toPandas()
-    share: dict[int, np.ndarray] = {}
-    rest: dict[int, np.ndarray] = {}
-    for order in range(1, OWN_ORDER):
-        share[order], rest[order] = _discounted(shared_rows[shared_rows["order"] == order], "n")
+    parts, rare = _shared_model(saved(_corpus_pairs(docs), "corpus-pairs"))
+    # Both classes together have no more grams than ``max_labelled`` texts hold.
+    own_rows = own.toPandas()
+    grams, contexts = {}, {}
     for order in range(OWN_ORDER, ORDER + 1):
-        rows = own_rows[own_rows["order"] == order]
-        both = [_discounted(rows, n) for n in ("n0", "n1")]
-        share[order], rest[order] = (np.stack([b[i] for b in both]) for i in (0, 1))
-    handed = docs.sparkSession.sparkContext.broadcast(ToxicityModel(share, rest))
+        grams[order], contexts[order] = _class_model(own_rows[own_rows["order"] == order])
+    handed = docs.sparkSession.sparkContext.broadcast(ToxicityModel(**parts, grams=grams, contexts=contexts))
 
     def measure(batches):
         for batch in batches:
+            more = _merged(batch["pairs"], batch["counts"]) if rare_there else None
             yield pd.DataFrame(
-                handed.value.features(list(batch["text"])), columns=[f"f{i}" for i in range(N_FEATURES)]
+                handed.value.features(list(batch["text"]), more), columns=[f"f{i}" for i in range(N_FEATURES)]
             ).assign(toxic=batch["toxic"].to_numpy())
 
+    rare_there = rare is not None
+    known = sample.where(fold == 0).select("text", "toxic")
+    if rare_there:
+        known = known.withColumn("version", F.xxhash64("text")).join(
+            _rare_pairs(known, handed, rare), "version", "left"
+        )
     fields = ", ".join(f"f{i} double" for i in range(N_FEATURES))
-    seen = sample.where(fold == 0).select("text", "toxic").mapInPandas(measure, f"{fields}, toxic int")
-    return handed, _weights(seen.toPandas())
+    seen = known.mapInPandas(measure, f"{fields}, toxic int")
+    return handed, rare, _weights(seen.toPandas())
 
 
 def _weights(seen: pd.DataFrame) -> tuple[float, ...]:
@@ -292,15 +421,29 @@ def _weights(seen: pd.DataFrame) -> tuple[float, ...]:
 
 
 def with_scores(
-    docs: DataFrame, handed: Broadcast, weights: tuple[float, ...], text: str, name: str
+    docs: DataFrame, handed: Broadcast, rare: DataFrame | None, weights: tuple[float, ...], text: str, name: str
 ) -> DataFrame:
-    """The input and a column ``name`` with the score of each whole text, from the text alone."""
+    """The input and a column ``name`` with the score of each whole text, from the text alone.
+
+    Narrow while the model has all pairs; else the texts with rare pairs are joined with their counts.
+    """
+    content = F.coalesce(named(text).cast("string"), F.lit(""))
+    if rare is None:
+
+        @F.pandas_udf("double")
+        def score(texts: pd.Series) -> pd.Series:
+            return pd.Series(handed.value.score(list(texts), weights))
+
+        return docs.withColumn(name, score(content))
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(handed.value.score(list(texts), weights))
+    def score_with(texts: pd.Series, pairs: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series(handed.value.score(list(texts), weights, _merged(pairs, counts)))
 
-    return docs.withColumn(name, score(F.coalesce(named(text).cast("string"), F.lit(""))))
+    version, pairs, counts = (free_name(docs, c) for c in ("version", "pairs", "counts"))
+    held = _rare_pairs(docs.select(content.alias("text")), handed, rare).toDF(version, pairs, counts)
+    joined = docs.withColumn(version, F.xxhash64(content)).join(held, version, "left")
+    return joined.withColumn(name, score_with(content, pairs, counts)).drop(version, pairs, counts)
 
 
 def held_out(key: Column) -> Column:
@@ -327,9 +470,9 @@ def score_documents(
     known = labels.select(F.col(key).alias("doc"), F.col(label).alias("toxic")).where(
         ~held_out(F.col("doc"))
     )
-    handed, weights = fit(keyed_texts(docs, key, text), known, max_labelled)
+    handed, rare, weights = fit(keyed_texts(docs, key, text), known, max_labelled)
     score = free_name(docs, "score")
-    scored = with_scores(docs, handed, weights, text, score)
+    scored = with_scores(docs, handed, rare, weights, text, score)
     return scored.select(
         *[named(c) for c in docs.columns],
         held_out(named(key)).alias(free_name(docs, "held_out")),

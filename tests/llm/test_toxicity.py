@@ -74,3 +74,36 @@ def test_grams_end_at_each_character():
     third = grams.gram(3)
     assert list(grams.word) == [0, 0, 0, 1, 1, 1, 1]
     assert third[0] == third[3] and third[1] == third[4] and third[2] != third[5]
+
+
+def test_corpus_counts_are_exact_whatever_the_partitions(spark):
+    from corpusmill.llm.toxicity import _corpus_pairs
+
+    rng = random.Random(3)
+    letters = [chr(0x4E00 + i) for i in range(1500)]
+    texts = [("".join(rng.choices(letters, k=600)),) for _ in range(1000)]
+    want = {}
+    for (t,) in texts:
+        padded = [1, 1, *map(ord, t), 2]
+        for a, b, c in zip(padded, padded[1:], padded[2:], strict=False):
+            want.setdefault(b << 21 | c, set()).add(a)
+    assert sum(map(len, want.values())) > 1 << 19
+    docs = spark.createDataFrame(texts, "text string")
+    for parts in (1, 4):
+        found = {r["pair"]: r["n"] for r in _corpus_pairs(docs.repartition(parts)).collect()}
+        assert found == {k: len(v) for k, v in want.items()}
+
+
+def test_joined_and_broadcast_counts_score_alike(spark, corpus, monkeypatch):
+    from corpusmill.llm import toxicity
+
+    docs, labels, _ = corpus
+    both = awkward_docs(spark).unionByName(docs, allowMissingColumns=True)
+    scores = []
+    for share in (toxicity.HOT_SHARE, 1e-2, 2.0):
+        monkeypatch.setattr(toxicity, "HOT_SHARE", share)
+        rows = score_documents(both, labels).collect()
+        scores.append(sorted((str(r["doc_id"]), r["text"] or "", r["score_"]) for r in rows))
+    for other in scores[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in scores[0]]
+        assert [r[2] for r in other] == pytest.approx([r[2] for r in scores[0]])
