@@ -84,8 +84,8 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
 def _stretches(words: list[str], template: list[str]) -> list[tuple[int, int]]:
     """Parts of the text, in order and apart, where most of the template's words stand close together.
 
-    Only words of the template are looked at. So a long text is cut down to what can hold the template,
-    and each of several notices is aligned by itself.
+    Only words of the template are looked at. So a long text is cut down to what can hold the template;
+    notices that stand close together share a part.
     """
     wanted, width = set(template), int(STRETCH * len(template)) + 1
     places = [i for i, w in enumerate(words) if w in wanted]
@@ -108,6 +108,42 @@ def _stretches(words: list[str], template: list[str]) -> list[tuple[int, int]]:
     return parts
 
 
+def _notices(words: list[str], template: list[str], min_coverage: float) -> list[list[tuple[int, int]]]:
+    """The alignment of each notice in a part of a text, in order and apart.
+
+    A notice is looked for from each place of a template word (from each tenth of a long template), in
+    a window that holds one notice. After a hit the search goes on behind it, so that each of several adjacent
+    notices is aligned by itself. A part without a hit is aligned as a whole.
+    """
+    wanted, step = set(template), max(1, len(template) // 10)
+    width = int(STRETCH * len(template)) + step
+    least = min_coverage * len(template) - 1e-9
+    found: list[list[tuple[int, int]]] = []
+    best: list[tuple[int, int]] = []
+    free, tried = 0, -step
+    for start in [i for i, w in enumerate(words) if w in wanted]:
+        if best and start > best[0][0]:
+            found.append(best)
+            free, best, tried = best[-1][0] + 1, [], -step
+        if len(words) - start < least:
+            break
+        if start < free or (tried >= 0 and start < tried + step):
+            continue
+        tried = start
+        window = words[start : start + width]
+        if len(wanted.intersection(window)) < MIN_COVERAGE * len(wanted) - 1e-9 and min_coverage >= MIN_COVERAGE:
+            continue
+        pairs = [(a + start, b) for a, b in align(window, template)]
+        if pairs and len(pairs) >= least and len(pairs) > len(best):
+            best = pairs
+    if best:
+        found.append(best)
+    if not found:
+        pairs = align(words, template)
+        found = [pairs] if pairs and len(pairs) >= least else []
+    return found
+
+
 def scan_text(text: str, templates: dict[str, list[str]], min_coverage: float) -> list[tuple[str, float, int, int]]:
     """(license, coverage, start, end) of each notice, code points, end exclusive."""
     spans = [(m.start(), m.end()) for m in _WORD.finditer(text)]
@@ -118,9 +154,8 @@ def scan_text(text: str, templates: dict[str, list[str]], min_coverage: float) -
         if len(held.intersection(template)) < min(min_coverage, MIN_COVERAGE) * len(set(template)) - 1e-9:
             continue
         for a, b in _stretches(words, template):
-            pairs = align(words[a:b], template)
-            coverage = len(pairs) / len(template)
-            if coverage >= min_coverage:
+            for pairs in _notices(words[a:b], template, min_coverage):
+                coverage = len(pairs) / len(template)
                 out.append((name, coverage, spans[a + pairs[0][0]][0], spans[a + pairs[-1][0]][1]))
     return sorted(out, key=lambda r: (r[2], r[0]))
 

@@ -42,3 +42,17 @@ def test_awkward_rows(spark):
     rows = find_licenses(awkward_docs(spark)).collect()
     assert len(rows) == len(awkward_rows()) and all(r["licenses"] == [] for r in rows)
     assert find_licenses(empty_docs(spark)).count() == 0
+
+
+def test_adjacent_notices_are_found_one_by_one():
+    from corpusmill.llm.license_scan import _WORD, MIN_COVERAGE, scan_text
+
+    cut = {k: [w.lower() for w in _WORD.findall(v)] for k, v in TEMPLATES.items()}
+    for name, notice in TEMPLATES.items():
+        for before, after in (("", ""), ("The ", " the"), ("License / ", " / See the license"), ("under the license ", " licensed under")):
+            for n in (1, 2, 3, 5):
+                text = before + " / ".join([notice] * n) + after
+                hits = [h for h in scan_text(text, cut, MIN_COVERAGE) if h[0] == name]
+                assert len(hits) == n, (text, hits)
+                assert all(c == 1.0 for _, c, _, _ in hits)
+                assert all(a[3] <= b[2] for a, b in zip(hits, hits[1:], strict=False))
