@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ MIN_COVERAGE = 0.8
 # A match may be spread over this many times the template's words.
 STRETCH = 1.5
 _WORD = re.compile(r"\w+(?:\.\w+)*")
-# Notices of public licenses.
+# Short notices of public licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT": "Released under the MIT License.",
@@ -32,6 +33,14 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# The texts, headers and further notices of public licenses, in files NAME.KIND.txt.
+TEXTS_FOLDER = Path(__file__).parent / "license_texts"
+
+
+def license_texts() -> list[tuple[str, str]]:
+    """(license, text) of the short notices and of all files; a license may have several texts."""
+    files = sorted(TEXTS_FOLDER.glob("*.txt"))
+    return [*TEMPLATES.items(), *((f.stem.rpartition(".")[0], f.read_text("utf-8")) for f in files)]
 
 
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -96,8 +105,10 @@ def _stretches(words: list[str], template: list[str]) -> list[tuple[int, int]]:
     for i in places:
         inside[words[i]] += 1
         while places[low] <= i - width:
-            inside[words[places[low]]] -= 1
-            inside += Counter()
+            gone = words[places[low]]
+            inside[gone] -= 1
+            if not inside[gone]:
+                del inside[gone]
             low += 1
         if len(inside) >= need:
             start, end = places[low], i + 1
@@ -144,32 +155,46 @@ def _notices(words: list[str], template: list[str], min_coverage: float) -> list
     return found
 
 
-def scan_text(text: str, templates: dict[str, list[str]], min_coverage: float) -> list[tuple[str, float, int, int]]:
-    """(license, coverage, start, end) of each notice, code points, end exclusive."""
+def scan_text(
+    text: str, templates: list[tuple[str, list[str]]], min_coverage: float
+) -> list[tuple[str, float, int, int]]:
+    """(license, coverage, start, end) of each notice, code points, end exclusive.
+
+    Where two overlap by more than half of the shorter, the one with more words of its template stays,
+    then the one with the higher coverage: a header is no notice besides the text that holds it.
+    """
     spans = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     words = [text[a:b].lower() for a, b in spans]
     held = set(words)
-    out = []
-    for name, template in templates.items():
-        if len(held.intersection(template)) < min(min_coverage, MIN_COVERAGE) * len(set(template)) - 1e-9:
+    hits = []
+    for name, template in templates:
+        kinds = set(template)
+        need = min(min_coverage, MIN_COVERAGE) * len(kinds) - 1e-9
+        if len(held) < need or len(held & kinds) < need:
             continue
         for a, b in _stretches(words, template):
             for pairs in _notices(words[a:b], template, min_coverage):
-                coverage = len(pairs) / len(template)
-                out.append((name, coverage, spans[a + pairs[0][0]][0], spans[a + pairs[-1][0]][1]))
-    return sorted(out, key=lambda r: (r[2], r[0]))
+                hits.append((-len(pairs), -len(pairs) / len(template), name, a + pairs[0][0], a + pairs[-1][0] + 1))
+    kept: list[tuple[str, float, int, int]] = []
+    for _, coverage, name, start, end in sorted(hits):
+        if all(2 * (min(end, e) - max(start, s)) <= min(end - start, e - s) for _, _, s, e in kept):
+            kept.append((name, -coverage, start, end))
+    return sorted(
+        ((name, coverage, spans[s][0], spans[e - 1][1]) for name, coverage, s, e in kept), key=lambda r: (r[2], r[0])
+    )
 
 
 def find_licenses(
-    docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, min_coverage: float = MIN_COVERAGE
+    docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE
 ) -> DataFrame:
     """The input and ``licenses`` (a free name): array<struct<license, coverage, start, end>> of each whole text.
 
-    Words are compared in lower case. Null and empty texts have none; rows are independent, so
+    ``templates`` (name to text) replaces ``license_texts``. Words are compared in lower case. Null and empty texts have none; rows are independent, so
     repeated rows and null ids make no difference; an empty table gives an empty table.
     """
     small_batches(docs.sparkSession)
-    cut = {k: [w.lower() for w in _WORD.findall(v)] for k, v in templates.items()}
+    texts = license_texts() if templates is None else templates.items()
+    cut = [(k, [w.lower() for w in _WORD.findall(v)]) for k, v in texts]
 
     @F.pandas_udf("array<struct<license string, coverage double, start bigint, end bigint>>")
     def scan(texts: pd.Series) -> pd.Series:

@@ -47,7 +47,7 @@ def test_awkward_rows(spark):
 def test_adjacent_notices_are_found_one_by_one():
     from corpusmill.llm.license_scan import _WORD, MIN_COVERAGE, scan_text
 
-    cut = {k: [w.lower() for w in _WORD.findall(v)] for k, v in TEMPLATES.items()}
+    cut = [(k, [w.lower() for w in _WORD.findall(v)]) for k, v in TEMPLATES.items()]
     for name, notice in TEMPLATES.items():
         for before, after in (("", ""), ("The ", " the"), ("License / ", " / See the license"), ("under the license ", " licensed under")):
             for n in (1, 2, 3, 5):
@@ -56,3 +56,24 @@ def test_adjacent_notices_are_found_one_by_one():
                 assert len(hits) == n, (text, hits)
                 assert all(c == 1.0 for _, c, _, _ in hits)
                 assert all(a[3] <= b[2] for a, b in zip(hits, hits[1:], strict=False))
+
+
+def test_reflowed_and_edited_texts_of_licenses(spark):
+    from corpusmill.llm.license_scan import license_texts
+
+    rng = random.Random(5)
+    rows, names = [], []
+    for name, text in license_texts():
+        words = text.split()
+        edited = list(words)
+        for at in rng.sample(range(len(words)), len(words) // 25):
+            edited[at] = "otherwise"
+        for n, body in enumerate((words, edited)):
+            lines = [" * " + " ".join(body[i : i + 9]) for i in range(0, len(body), 9)]
+            rows.append((len(rows), "Copyright 2020 Somebody\n" + "\n".join(lines) + "\ndef main():\n    pass\n"))
+            names.append((name, n))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {r["doc_id"]: r["licenses"] for r in find_licenses(docs).collect()}
+    for i, (name, n) in enumerate(names):
+        assert [f["license"] for f in found[i]] == [name], (name, n, [(f["license"], f["coverage"]) for f in found[i]])
+        assert found[i][0]["coverage"] == 1.0 or n == 1
