@@ -4,6 +4,10 @@ Numbers, names and units become typed placeholders. Windows of the template are
 those of the documents joined with those of the benchmark items, so that a question that was
 asked again with other numbers or names still meets its item. Along each alignment the slots are
 then checked: one filler of the item must always stand for one filler of the document.
+
+Beside the templates, windows of the words and numbers themselves, in lower case, find what recurs
+literally: copies in another letter case, items that are mostly numbers, and copies with a few
+fillers altered, whatever their other slots say.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ _TOKEN = (
     r"|" + _UNIT + r"?\p{L}++"
     r"|\d++(?:[.,:]\d++)*+"
 )
+_LITERAL = r"\p{L}++|\d++(?:[.,:]\d++)*+"
 
 
 def tokens(text: Column) -> Column:
@@ -75,35 +80,54 @@ def _template(text: Column) -> Column:
     return F.transform(tokens(text), canonical)
 
 
+def _literal(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(_LITERAL), F.lit(0)), lambda t: F.lower(t))
+
+
+def _cut(text: Column, exact: bool) -> Column:
+    return _literal(text) if exact else _template(text)
+
+
 def benchmark_windows(items: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, item_version, size, n_windows, item_at, h, slotted): the windows of each item that are not mostly slots.
+    """(item, item_version, exact, size, n_windows, item_at, h, slotted): the windows of each item, of its literal
+    words and numbers (exact) and of its template. Windows of the template that are mostly slots say too
+    little; they are left out and not counted in n_windows.
 
     An item of fewer than ``WINDOW`` tokens is one window of its own size; one of fewer than
     ``SHORTEST`` says too little and has none.
     """
-    cut = items.select(named(item).alias("item"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text"))
-    cut = cut.distinct().select("item", F.xxhash64("text").alias("item_version"), _template(F.col("text")).alias("template"))
-    cut = cut.withColumn("size", F.least(F.size("template"), F.lit(WINDOW))).where(F.col("size") >= SHORTEST)
-    hashes = F.lit(None).cast("array<bigint>")
-    for size in range(SHORTEST, WINDOW + 1):
-        hashes = F.when(F.col("size") == size, window_hashes(F.col("template"), size)).otherwise(hashes)
-    slots = F.size(
-        F.filter(F.slice("template", F.col("item_at") + 1, F.col("size")), lambda t: t.startswith("#"))
-    )
-    return (
-        cut.select("*", F.posexplode(hashes).alias("item_at", "h"))
-        .withColumn("n_slots", slots)
-        .where(2 * F.col("n_slots") <= F.col("size"))
-        .select(
-            "item",
-            "item_version",
-            "size",
-            (F.size("template") - F.col("size") + 1).alias("n_windows"),
-            "item_at",
-            "h",
-            (F.col("n_slots") > 0).alias("slotted"),
+    cut = items.select(named(item).alias("item"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text")).distinct()
+    parts = []
+    for exact in (False, True):
+        part = cut.select(
+            "item", F.xxhash64("text").alias("item_version"), F.lit(exact).alias("exact"), _cut(F.col("text"), exact).alias("template")
         )
-    )
+        part = part.withColumn("size", F.least(F.size("template"), F.lit(WINDOW))).where(F.col("size") >= SHORTEST)
+        hashes = F.lit(None).cast("array<bigint>")
+        for size in range(SHORTEST, WINDOW + 1):
+            hashes = F.when(F.col("size") == size, window_hashes(F.col("template"), size)).otherwise(hashes)
+
+        def slots(at: Column) -> Column:
+            return F.size(F.filter(F.slice("template", at + 1, F.col("size")), lambda t: t.startswith("#")))
+
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size("template") - F.col("size")), lambda i: 2 * slots(i) <= F.col("size")
+        )
+        parts.append(
+            part.withColumns({"hashes": hashes, "starts": starts})
+            .select("*", F.explode("starts").alias("item_at"))
+            .select(
+                "item",
+                "item_version",
+                "exact",
+                "size",
+                F.size("starts").alias("n_windows"),
+                "item_at",
+                F.get("hashes", "item_at").alias("h"),
+                (slots(F.col("item_at")) > 0).alias("slotted"),
+            )
+        )
+    return parts[0].union(parts[1])
 
 
 def _consistent(item_tokens: Column, doc_tokens: Column, places: Column, shift: Column) -> Column:
@@ -134,8 +158,8 @@ def contaminated(
     """(key, item, n_windows, n_shared, changed, id_hash, version): documents that hold an item.
 
     A row for each document and item where, on one alignment, at least ``min_share`` of the
-    item's ``n_windows`` windows recur and the slots are consistent; ``changed`` tells that some slot
-    has another filler. Null and empty texts hold nothing; repeated rows give one row; an empty
+    item's ``n_windows`` windows recur, either literally (but for letter case) or in the template with
+    consistent slots; ``changed`` tells that some slot of the windows that recur has another filler. Null and empty texts hold nothing; repeated rows give one row; an empty
     table on either side gives an empty table. Null ids take part.
 
     Documents go to windows in a narrow pass; the windows of the items are broadcast while
@@ -145,19 +169,20 @@ def contaminated(
         {"id_hash": F.xxhash64("doc"), "version": F.xxhash64("text")}
     )
     index = saved(benchmark_windows(items, item, item_text), "benchmark-windows")
-    sizes = [r["size"] for r in index.select("size").distinct().collect()]  # WINDOW at most
+    sizes = [(r["exact"], r["size"]) for r in index.select("exact", "size").distinct().collect()]  # 2 * WINDOW at most
     small = index.count() <= MAX_BROADCAST_WINDOWS
-    templates = source.select("doc", "id_hash", "version", _template(F.col("text")).alias("template"))
     found = None
-    for size in sizes or [WINDOW]:
-        of_size = index.where(F.col("size") == size)
-        part = templates.select(
-            "doc", "id_hash", "version", F.posexplode(window_hashes(F.col("template"), size)).alias("at", "h")
-        ).join(F.broadcast(of_size) if small else of_size, "h")
+    for exact, size in sizes or [(False, WINDOW)]:
+        of_size = index.where((F.col("size") == size) & (F.col("exact") == exact))
+        part = (
+            source.select("doc", "id_hash", "version", _cut(F.col("text"), exact).alias("template"))
+            .select("doc", "id_hash", "version", F.posexplode(window_hashes(F.col("template"), size)).alias("at", "h"))
+            .join(F.broadcast(of_size) if small else of_size, "h")
+        )
         found = part if found is None else found.union(part)
     aligned = saved(
         found.groupBy(
-            "id_hash", "version", "item", "item_version", "size", "n_windows",
+            "id_hash", "version", "item", "item_version", "exact", "size", "n_windows",
             (F.col("at") - F.col("item_at")).alias("shift"),
         )
         .agg(

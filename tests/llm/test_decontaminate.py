@@ -63,3 +63,23 @@ def test_many_windows_are_joined_by_shuffle(spark, monkeypatch):
 
     monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", 0)
     test_exact_and_asked_again(spark)
+
+
+def test_letter_case_and_items_of_numbers(spark):
+    sums = "Compute 12 + 15 - 7 * 3"
+    rows = "Table: 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 and so on"
+    names = "One day Peter met Anna and Paul met Mary, then Peter told Paul that Anna told Mary of Peter."
+    texts = [QUESTION.upper(), QUESTION.lower(), f"So: {sums}. Well.", f"See {rows}.", names.upper(), names.lower(), "Compute 12 + 15 - 7 * 4"]
+    items = items_of(spark, (1, QUESTION), (2, sums), (3, rows), (4, names))
+    got = {r[:2] for r in found(docs_of(spark, *texts), items)}
+    assert got == {(0, 1), (1, 1), (2, 2), (3, 3), (4, 4), (5, 4)}
+
+
+def test_only_windows_that_can_match_are_counted(spark):
+    from corpusmill.llm.decontaminate import benchmark_windows
+
+    item = "Add up the following long list of values: " + " ".join(map(str, range(100, 140)))
+    rows = benchmark_windows(items_of(spark, (1, item)), "item_id", "text").collect()
+    for exact in (False, True):
+        part = [r for r in rows if r["exact"] == exact]
+        assert part and {r["n_windows"] for r in part} == {len(part)}
