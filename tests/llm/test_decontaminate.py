@@ -65,6 +65,17 @@ def test_many_windows_are_joined_by_shuffle(spark, monkeypatch):
     test_exact_and_asked_again(spark)
 
 
+def test_verbatim_with_one_of_two_equal_fillers_altered(spark):
+    item = (
+        "Each of the 12 baskets on the long wooden table by the window of the old kitchen holds ripe fruit, "
+        "and each of the 12 baskets weighs as much as the one that stands next to it on the left side. How much is that in all?"
+    )
+    altered = item.replace("12 baskets weighs", "13 baskets weighs")
+    other = altered.replace("12 baskets", "30 baskets")
+    docs = docs_of(spark, f"Look. {altered} Yes.", f"Look. {other} Yes.", "Each of the 12 baskets weighs much.")
+    assert {r[0] for r in found(docs, items_of(spark, (1, item)))} == {0, 1}
+
+
 def test_letter_case_and_items_of_numbers(spark):
     sums = "Compute 12 + 15 - 7 * 3"
     rows = "Table: 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 and so on"
