@@ -217,3 +217,17 @@ def test_annotation_by_sentence(spark):
     assert [[e.text for e in a.entities] for a in rows[0].a] == [["Apple Inc"], ["Tim Cook"]]
     assert all(a.sentiment == 0.0 and len(a.tokens) == len(a.pos_tags) for a in rows[0].a)
     assert rows[1].a is None
+
+
+def test_given_counts_with_tags_keep_unseen_words(spark):
+    from corpusmill.operators.keywords import UNSEEN_COUNT, keywords
+
+    df = spark.createDataFrame([(1, "the walrus saw a zebra"), (2, "a walrus ran")], "id bigint, text string")
+    counts = spark.createDataFrame([("walrus", 4), ("saw", 10), ("ran", 10)], "word string, n bigint")
+    pairs = {"walrus": "NOUN", "zebra": "NOUN", "saw": "VERB"}
+    frame = spark.createDataFrame(list(pairs.items()), "word string, pos string")
+    for tags in (pairs, frame):
+        rows = keywords(df, "text", "id", counts=counts, tags=tags).collect()
+        found = {(r["id"], r["text"]): r["score"] for r in rows}
+        assert set(found) == {(1, "walrus"), (1, "zebra"), (2, "walrus")}
+        assert abs(found[1, "zebra"] + math.log(UNSEEN_COUNT / 24)) < 1e-9
