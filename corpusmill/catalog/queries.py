@@ -129,6 +129,10 @@ def src_csv_scan(spark, folder):
     return rounded(readers.read_dataset(spark, path, "csv"))
 
 
+# A JSON document of several rows holds about so many, whatever the table's size.
+ROWS_PER_DOCUMENT = 10_000
+
+
 def _write_json_files(spark: SparkSession, folder: str, root: str) -> None:
     """The conversations as JSON of all kinds: a third as records by line, a third as one array
     over several lines in each file, a third as columns of cells."""
@@ -136,12 +140,20 @@ def _write_json_files(spark: SparkSession, folder: str, root: str) -> None:
     share = F.pmod(F.col("conv_id"), F.lit(3))
     writers.write_table(talks.where(share == 0), f"{root}/by_line.json", "json")
     row = F.to_json(F.struct("conv_id", "turn", "role", "text"))
-    part = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(8))
+
+    def dealt(k: int) -> tuple[DataFrame, int]:
+        # By the row's number too: copies of one row would meet in one document.
+        rows = talks.where(share == k)
+        parts = max(8, -(-rows.count() // ROWS_PER_DOCUMENT))
+        numbered = rows.withColumn("at", F.monotonically_increasing_id())
+        part = F.pmod(F.xxhash64("conv_id", "turn", "at"), F.lit(parts))
+        return numbered.groupBy(part.alias("part")), parts
+
+    groups, parts = dealt(1)
     (
-        talks.where(share == 1)
-        .groupBy(part.alias("part"))
-        .agg(F.collect_list(row).alias("rows"))
+        groups.agg(F.collect_list(row).alias("rows"))
         .select(F.concat(F.lit("[\n"), F.array_join("rows", ",\n"), F.lit("\n]\n")))
+        .repartition(parts // 2)
         .write.text(f"{root}/array.json")
     )
     cells = F.sort_array(F.collect_list(F.struct("conv_id", "turn", "role", "text")))
@@ -150,12 +162,11 @@ def _write_json_files(spark: SparkSession, folder: str, root: str) -> None:
         pairs = F.transform(F.col("rows"), lambda r, i: F.struct(i.cast("string"), r[name]))
         return F.map_from_entries(pairs).alias(name)
 
+    groups, parts = dealt(2)
     (
-        talks.where(share == 2)
-        .groupBy(part.alias("part"))
-        .agg(cells.alias("rows"))
+        groups.agg(cells.alias("rows"))
         .select(F.to_json(F.struct(*[column(c) for c in ("conv_id", "turn", "role", "text")])))
-        .repartition(4)
+        .repartition(parts // 2)
         .write.text(f"{root}/columns.json")
     )
 
