@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, license_scan, line_dedup, minhash, packing, secret_scan, toxicity, url_filter, warc
+from . import (
+    decontaminate,
+    fingerprint,
+    license_scan,
+    line_dedup,
+    minhash,
+    packing,
+    resample,
+    secret_scan,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +121,9 @@ def op10_line_dedup(spark, folder):
     return line_dedup.drop_repeated_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_resampling(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return resample.resample(docs, table(spark, folder, "benchmark"))
