@@ -17,6 +17,7 @@ from . import (
     packing,
     resample,
     secret_scan,
+    simhash,
     toxicity,
     url_filter,
     warc,
@@ -127,3 +128,8 @@ def op10_line_dedup(spark, folder):
 def op11_resampling(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return resample.resample(docs, table(spark, folder, "benchmark"))
+
+
+@query
+def op12_simhash(spark, folder):
+    return simhash.simhash_groups(table(spark, folder, "documents"))
