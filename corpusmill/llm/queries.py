@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    conversation,
     decontaminate,
     fingerprint,
     license_scan,
@@ -133,3 +134,9 @@ def op11_resampling(spark, folder):
 @query
 def op12_simhash(spark, folder):
     return simhash.simhash_groups(table(spark, folder, "documents"))
+
+
+@query
+def op13_conversations(spark, folder):
+    talks = table(spark, folder, "conversations")
+    return conversation.audits_of_all(talks, conversation.damaged(talks))

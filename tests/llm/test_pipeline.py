@@ -12,7 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5
 
 
