@@ -346,8 +346,7 @@ def gram_cte(name: str, source: str, keys: str) -> str:
 
 LANGUAGE_CTES = f"""WITH {gram_cte('train', 'documents', 'doc_id, lang')},
 per_lang AS (SELECT lang, gram, sum(n) AS n FROM train GROUP BY lang, gram),
-vocabulary AS (SELECT DISTINCT gram FROM per_lang
-  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 1000),
+vocabulary AS (SELECT DISTINCT gram FROM per_lang),
 languages AS (SELECT DISTINCT lang FROM documents),
 known AS (SELECT l.lang, v.gram, coalesce(p.n, 0) AS n FROM languages l
   CROSS JOIN vocabulary v LEFT JOIN per_lang p ON p.lang = l.lang AND p.gram = v.gram),
