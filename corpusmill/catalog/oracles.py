@@ -587,6 +587,12 @@ def summary(language: str, more: str = "", joins: str = "") -> str:
 
 IN_ROW_CTES = f"{entity_ctes('seeded', 'doc_id')}, {TOPIC_CTES}, {SENTIMENT_CTES}"
 
+INTEGRITY = """SELECT 'documents' AS child, 'doc_id' AS "column",
+        round(avg(CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 1.0 ELSE 0.0 END), 6) AS found_share FROM documents
+      UNION ALL SELECT 'events', 'user_id',
+        round(avg(CASE WHEN user_id IN (SELECT c_custkey FROM customer) THEN 1.0 ELSE 0.0 END), 6) FROM events
+      UNION ALL SELECT 'events', 'event_id', 1.0"""
+
 ORACLES = {
     "src_list_datasets": """SELECT 'docs.csv' AS name, 'csv' AS extension, count(*) > 0 AS filled FROM documents
       UNION ALL SELECT 'talks.jsonl', 'jsonl', count(*) > 0 FROM conversations""",
@@ -662,11 +668,12 @@ ORACLES = {
     "q_text_uniqueness": one(SEEDED_RELATION.text_uniqueness(), "text_uniqueness", "seeded", f"WITH {SEEDED}"),
     "q_uniqueness": f"SELECT round({DOC_RELATION.uniqueness()}, 6) AS uniqueness",
     "q_timeliness": one(FRESHNESS, "timeliness", "events"),
-    "q_integrity": """SELECT 'documents' AS child, 'doc_id' AS "column",
-        round(avg(CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 1.0 ELSE 0.0 END), 6) AS found_share FROM documents
-      UNION ALL SELECT 'events', 'user_id',
-        round(avg(CASE WHEN user_id IN (SELECT c_custkey FROM customer) THEN 1.0 ELSE 0.0 END), 6) FROM events
-      UNION ALL SELECT 'events', 'event_id', 1.0""",
+    "q_integrity": INTEGRITY,
+    "q_integrity_filtered": INTEGRITY,
+    "q_orphans_filtered": """SELECT 'documents' AS child, doc_id AS value, count(*) AS n FROM documents
+      WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id
+      UNION ALL SELECT 'lineitem', l_orderkey, count(*) FROM lineitem
+      WHERE l_orderkey NOT IN (SELECT doc_id FROM documents) GROUP BY l_orderkey""",
     "q_orphans": "SELECT doc_id AS value, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id",
     "q_outliers": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", round({EVENT_RELATION.outlier_share(c)}, 6) AS outlier_share,"

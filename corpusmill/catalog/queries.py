@@ -484,14 +484,13 @@ def q_timeliness(spark, folder):
     return rounded(pr.timeliness(table(spark, folder, "events"), "ts", AS_OF))
 
 
-@query
-def q_integrity(spark, folder):
-    """How many documents are labelled, and events whose user is a customer."""
+def _integrity(spark, folder, filtered: bool) -> DataFrame:
     docs = documents(spark, folder)
-    labelled = integrity(docs, {"doc_id": (table(spark, folder, "labels"), "doc_id")})
+    labelled = integrity(docs, {"doc_id": (table(spark, folder, "labels"), "doc_id")}, filtered)
     users = integrity(
         table(spark, folder, "events"),
         {"user_id": (table(spark, folder, "customer"), "c_custkey")},
+        filtered,
     )
     return rounded(
         labelled.select(F.lit("documents").alias("child"), "column", "found_share").unionByName(
@@ -500,6 +499,30 @@ def q_integrity(spark, folder):
     )
 
 
+@query
+def q_integrity(spark, folder):
+    """How many documents are labelled, and events whose user is a customer."""
+    return _integrity(spark, folder, False)
+
+
+@query
+def q_integrity_filtered(spark, folder):
+    """The same with a Bloom filter of each parent before the join."""
+    return _integrity(spark, folder, True)
+
+
+@query
+def q_orphans_filtered(spark, folder):
+    """Orders of customers and documents of labels, looked for where most are missing."""
+    docs = orphans(documents(spark, folder), "doc_id", table(spark, folder, "labels"), "doc_id", True)
+    lines = table(spark, folder, "lineitem")
+    # Every order key stands on several lines; few are document ids as well.
+    keys = orphans(lines, "l_orderkey", table(spark, folder, "documents"), "doc_id", True)
+    return docs.select(F.lit("documents").alias("child"), "value", "n").union(
+        keys.select(F.lit("lineitem").alias("child"), "value", "n")
+    )
+
+
 @query
 def q_orphans(spark, folder):
     return orphans(documents(spark, folder), "doc_id", table(spark, folder, "labels"), "doc_id")

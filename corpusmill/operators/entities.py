@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import let, named, pieces, scan, starts_digit, starts_letter
+from .bloom import BloomFilter
 from .lookups import MAX_LITERAL_ENTRIES, LiteralLookup, RowLookup, attach_matches
 
 # Phrases known without a gazetteer of the user's.
@@ -211,22 +212,30 @@ def literal_matcher(gazetteer: dict, spark) -> EntityMatcher:
     )
 
 
-def phrase_runs(text: Column, spans: list[int]) -> Column:
-    """Every run of as many pieces as some phrase has, from each piece."""
+def phrase_probes(df: DataFrame, row_key: str, text: Column, phrases: DataFrame, spans: list[int]) -> DataFrame:
+    """(_row, _entry): the runs of pieces that may be one of ``phrases`` (phrase).
 
-    def runs(cut: Column) -> Column:
-        lengths = F.array(*[F.lit(n) for n in spans])
-        return F.flatten(
-            F.transform(
-                cut,
-                lambda p, i: F.transform(
-                    F.filter(lengths, lambda n: i + n <= F.size(cut)),
-                    lambda n: F.array_join(F.slice(cut, i + 1, n), ""),
-                ),
-            )
-        )
-
-    return let(pieces(text), runs)
+    A piece that opens no phrase is dropped by a Bloom filter of the first pieces, before any run
+    that starts with it is built. From the others on there is a run of as many pieces as some
+    phrase has, for each number.
+    """
+    firsts = phrases.where(F.col("phrase") != "").select(F.get(pieces(F.col("phrase")), F.lit(0)).alias("first")).distinct()
+    opens = BloomFilter.of(firsts, "first").might_hold(F.col("piece"))
+    lengths = F.array(*[F.lit(n) for n in spans])
+    places = let(
+        pieces(text),
+        lambda cut: F.transform(
+            cut, lambda p, i: F.struct(p.alias("piece"), F.slice(cut, i + 1, F.lit(max(spans))).alias("ahead"))
+        ),
+    )
+    runs = F.transform(
+        F.filter(lengths, lambda n: n <= F.size("ahead")), lambda n: F.array_join(F.slice("ahead", F.lit(1), n), "")
+    )
+    return (
+        df.select(named(row_key).alias("_row"), F.inline(places))
+        .where(opens)
+        .select("_row", F.explode(runs).alias("_entry"))
+    )
 
 
 def entity_matcher(
@@ -262,9 +271,10 @@ def entity_matcher(
     # One row for each length that occurs.
     lengths = gazetteer.where(F.col("phrase") != "").select(F.size(pieces(F.col("phrase"))).alias("n")).distinct()
     spans = sorted((r.n for r in lengths.collect()), reverse=True)
-    matched = attach_matches(
-        df, row_key, phrase_runs(named(text_col), spans), gazetteer, "phrase", "label", "_phrases"
-    )
+    if not spans:
+        return df, literal_matcher({}, spark)
+    probes = phrase_probes(df, row_key, named(text_col), gazetteer, spans)
+    matched = attach_matches(df, row_key, probes, gazetteer, "phrase", "label", "_phrases")
     firsts = F.array_distinct(
         F.transform(F.map_keys("_phrases"), lambda p: F.get(pieces(p), F.lit(0)))
     )

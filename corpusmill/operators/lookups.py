@@ -2,9 +2,9 @@
 
 A vocabulary of at most ``MAX_LITERAL_ENTRIES`` entries, checked by reading one
 entry more, is written into the expression as hash sets: no join, no shuffle. A
-larger one is joined: the distinct candidates of each text meet the vocabulary in
-a shuffle join, and each row gets a map of its own matches. The row-level
-expressions are the same for both.
+larger one is joined: the distinct candidates of each text that pass a Bloom filter meet the
+vocabulary, frequent ones in a broadcast join and others in a shuffle join, and each row gets a map of
+its own matches. The row-level expressions are the same for both.
 """
 
 from __future__ import annotations
@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
+from ..session import written
+from .bloom import BloomFilter
 
 MAX_LITERAL_ENTRIES = 5000
 # Distinct values that a lookup tells apart by branches of one CASE.
 MAX_BRANCHES = 32
-# Rows of a frequent candidate ("the") are spread over this many join keys.
-SALTS = 32
+# Entries with this share of all probes ("the") are broadcast.
+HOT_SHARE = 1e-5
 
 
 class LiteralLookup:
@@ -84,33 +86,36 @@ def one_value_per_key(table: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def probes_of(df: DataFrame, row_key: str, candidates: Column) -> DataFrame:
+    """(_row, _entry): the distinct ``candidates`` of each row."""
+    return df.select(named(row_key).alias("_row"), F.explode(F.array_distinct(candidates)).alias("_entry"))
+
+
 def attach_matches(
-    df: DataFrame,
-    row_key: str,
-    candidates: Column,
-    table: DataFrame,
-    key: str,
-    value: str,
-    out: str,
+    df: DataFrame, row_key: str, probes: DataFrame, table: DataFrame, key: str, value: str, out: str
 ) -> DataFrame:
-    """Add ``out``, a map of those ``candidates`` of each row that ``table`` holds.
+    """Add ``out``, a map of those ``probes`` (_row, _entry) of each row that ``table`` holds.
 
-    ``row_key`` must be unique. Candidates are made distinct inside the row before
-    they are shuffled. Each vocabulary entry is repeated once per salt, so that
-    the rows of one very frequent candidate are spread over ``SALTS`` join keys.
+    ``row_key`` must be unique. A Bloom filter of the table drops most probes that it lacks before
+    they are written and counted. Entries with a share of at least ``HOT_SHARE`` of what is left, of
+    which there can only be 1 / ``HOT_SHARE``, are broadcast; only the others meet the table in a
+    shuffle join, in which no entry is hot.
     """
-    salt = F.pmod(F.xxhash64(named(row_key)), F.lit(SALTS)).cast("int")
-    probes = df.select(
-        named(row_key).alias("_row"),
-        salt.alias("_salt"),
-        F.explode(F.array_distinct(candidates)).alias("_entry"),
-    )
-    entries = one_value_per_key(table, key, value).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    entries = written(one_value_per_key(table, key, value), "vocabulary")
+    might_match = BloomFilter.of(entries, "_entry").might_hold(F.col("_entry"))
+    left = written(probes.where(might_match), "probes")
+    most = HOT_SHARE * left.count()
+    hot = written(
+        left.groupBy("_entry").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= most).select("_entry")
+        .join(entries, "_entry", "left"),
+        "hot-entries",
     )
+    frequent = left.join(F.broadcast(hot), "_entry").where(F.col("_value").isNotNull())
+    rare = left.join(F.broadcast(hot.select("_entry")), "_entry", "left_anti").join(entries, "_entry")
     matches = (
-        probes.join(entries, ["_entry", "_salt"])
+        frequent.select("_row", "_entry", "_value")
+        .union(rare.select("_row", "_entry", "_value"))
         .groupBy("_row")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_entry", "_value"))).alias(out))
+        .agg(F.map_from_entries(F.collect_set(F.struct("_entry", "_value"))).alias(out))
     )
     return df.join(matches, named(row_key) == F.col("_row"), "left").drop("_row")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import urlsplit
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "corpusmill", **conf) -> SparkSession:
@@ -51,6 +51,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The table, written to a scratch folder and read back: its lineage ends here, and what is
+    used twice is computed once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to scratch folders. Results that still read from
     there must have been consumed or written before."""
