@@ -418,11 +418,12 @@ keyword AS (SELECT * FROM (
 
 # Topics: ``cut`` of the entity CTEs has the pieces.
 
-TOPIC_CTES = f"""
-phrase_text AS (SELECT doc_id, list_filter(list_transform(string_split_regex(array_to_string(
+PHRASE_TEXT = f"""phrase_text AS (SELECT doc_id, list_filter(list_transform(string_split_regex(array_to_string(
     list_transform(p, lambda x: CASE WHEN lower(x) IN ({quoted(stop_words())})
       OR regexp_matches(x, '^(?:[^{WORD}{WS}]|[{WS}]*\\n)') THEN chr(1) ELSE x END), ''),
-    '\\x01+'), lambda s: {strip('s')}), lambda s: regexp_matches(s, '\\p{{L}}')) AS runs FROM cut),
+    '\\x01+'), lambda s: {strip('s')}), lambda s: regexp_matches(s, '\\p{{L}}')) AS runs FROM cut)"""
+TOPIC_CTES = f"""
+{PHRASE_TEXT},
 candidate AS (
   SELECT doc_id, unnest(runs) AS topic, 0 AS kind, unnest(range(0, len(runs))) AS ix FROM phrase_text
   UNION ALL SELECT doc_id, text, 1, ix FROM entity),
@@ -597,6 +598,7 @@ ORACLES = {
     "src_list_datasets": """SELECT 'docs.csv' AS name, 'csv' AS extension, count(*) > 0 AS filled FROM documents
       UNION ALL SELECT 'talks.jsonl', 'jsonl', count(*) > 0 FROM conversations""",
     "src_csv_scan": f"SELECT doc_id, {not_na('text')}, {not_na('lang')}, {not_na('source')}, n_chars FROM documents",
+    "src_csv_multi_line": f"SELECT doc_id, {not_na('text')}, {not_na('lang')}, {not_na('source')}, n_chars FROM documents",
     "src_json_scan": "SELECT conv_id, turn, role, text FROM conversations",
     "src_read_dataset": """SELECT format, CASE WHEN format <> 'txt' THEN conv_id END AS conv_id,
       CASE WHEN format <> 'txt' THEN turn END AS turn, role, CASE WHEN format <> 'txt' THEN text END AS text
@@ -635,6 +637,7 @@ ORACLES = {
     "clean_control_chars": step(control("text")),
     "clean_quotes": step(quotes("text")),
     "clean_batch": f"{CLEAN_CTES} SELECT doc_id, text FROM judged WHERE ok",
+    "stream_clean": f"{CLEAN_CTES} SELECT doc_id, text, {is_instruction('text')} AS is_instruction FROM judged WHERE ok",
     "clean_aligned": f"{CLEAN_CTES} SELECT doc_id, text_cleaned FROM aligned",
     "gate_length": f"WITH {SEEDED} SELECT doc_id, coalesce(length(text) BETWEEN 20 AND 1000, false) AS accepted FROM seeded",
     "gate_words": f"WITH {SEEDED} SELECT doc_id, coalesce(len({ws_words('text')}) >= 3, false) AS accepted FROM seeded",
@@ -667,6 +670,10 @@ ORACLES = {
         FROM shown)) / count(*), 6) AS row_uniqueness FROM documents""",
     "q_text_uniqueness": one(SEEDED_RELATION.text_uniqueness(), "text_uniqueness", "seeded", f"WITH {SEEDED}"),
     "q_uniqueness": f"SELECT round({DOC_RELATION.uniqueness()}, 6) AS uniqueness",
+    "q_text_uniqueness_sketch": """SELECT source, count(*) AS n_rows, true AS within_error FROM documents GROUP BY source
+      UNION ALL SELECT 'all', count(*), true FROM documents""",
+    "q_unreadable_times": f"""WITH {SEEDED} SELECT source, count(end_date) AS n_filled,
+      count(*) FILTER (end_date IS NOT NULL AND try_cast(end_date AS DATE) IS NULL) AS n_unreadable FROM seeded GROUP BY source""",
     "q_timeliness": one(FRESHNESS, "timeliness", "events"),
     "q_integrity": INTEGRITY,
     "q_integrity_filtered": INTEGRITY,
@@ -723,6 +730,13 @@ ORACLES = {
         OR (end_date IS NOT NULL AND e IS NULL)) = 0 AS passed FROM dates""",
     "ann_tokens": f"""WITH {SEEDED} SELECT doc_id, len({tokens('text')}) AS n_tokens,
       array_to_string({tokens('text')}, {JOINER}) AS tokens FROM seeded""",
+    "ann_token_offsets": f"""WITH {SEEDED},
+      cut AS (SELECT doc_id, {pieces('text')} AS p FROM seeded WHERE text IS NOT NULL),
+      piece AS (SELECT doc_id, unnest(p) AS piece, unnest(range(0, len(p))) AS ix FROM cut),
+      placed AS (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY ix ROWS UNBOUNDED PRECEDING) AS stop FROM piece)
+      SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ix) - 1 AS position, piece AS token,
+        (stop - length(piece))::BIGINT AS start_pos, stop::BIGINT AS end_pos
+      FROM placed WHERE NOT regexp_matches(piece, '^[{WS}]')""",
     "ann_sentences": f"{SENTENCE_SOURCE} SELECT doc_id, position, text AS sentence FROM sentence",
     "ann_pos_tags": f"""WITH {SEEDED}, tok AS (SELECT doc_id, lower(unnest({tokens('text')})) AS t FROM seeded)
       SELECT doc_id, CASE WHEN t IN ({quoted(TAGS['NOUN'])}) THEN 'NOUN' WHEN t IN ({quoted(TAGS['ADJ'])}) THEN 'ADJ'
@@ -755,6 +769,19 @@ ORACLES = {
       UNION ALL SELECT 'Shouting', 'text', NULL, 'violations: ' || count(*) FROM loud""",
     "ann_topics": f"""WITH {SEEDED}, {entity_ctes('seeded', 'doc_id')}, {TOPIC_CTES}
       SELECT doc_id, position, topic FROM topic""",
+    "ann_topics_ranked": f"""WITH {SEEDED}, cut AS (SELECT doc_id, {pieces('text')} AS p FROM seeded WHERE text IS NOT NULL),
+      {PHRASE_TEXT},
+      phrase AS (SELECT doc_id, unnest(runs) AS topic, unnest(range(0, len(runs))) AS ix FROM phrase_text),
+      parts AS (SELECT lower(topic) AS folded, {words('lower(topic)')} AS ws FROM phrase),
+      used AS (SELECT len(ws) AS size, unnest(ws) AS word FROM parts),
+      word_score AS (SELECT word, sum(size) / count(*) AS score FROM used GROUP BY word),
+      different AS (SELECT DISTINCT folded, ws FROM parts),
+      of_phrase AS (SELECT folded, unnest(ws) AS word FROM different),
+      phrase_score AS (SELECT folded, round(sum(score), 9) AS score FROM of_phrase JOIN word_score USING (word) GROUP BY folded),
+      firsts AS (SELECT * FROM phrase QUALIFY row_number() OVER (PARTITION BY doc_id, lower(topic) ORDER BY ix) = 1)
+      SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ix) - 1 AS position, topic,
+        row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, ix) AS rank, round(score, 6) AS score
+      FROM firsts JOIN phrase_score ON lower(topic) = folded""",
     "ann_keywords": f"WITH {SEEDED}, {keyword_ctes(False)} SELECT doc_id, rank, text, pos, round(score, 6) AS score FROM keyword",
     "ann_keywords_tagged": f"WITH {SEEDED}, {keyword_ctes(True)} SELECT doc_id, rank, text, pos, round(score, 6) AS score FROM keyword",
     "lang_id": f"""{DOC_LANGUAGE} SELECT d.doc_id, b.language, coalesce(round(b.confidence, 6), 0.0) AS confidence

@@ -18,20 +18,21 @@ from ..functions.instructions import command_words, instruction
 from ..functions.text import named, sentences, tokens
 from ..operators import batch_gate as bg
 from ..operators import profile as pr
-from ..operators import rules
+from ..operators import rules, sketches
 from ..operators.annotate import annotate
 from ..operators.entities import DEFAULT_GAZETTEER, entities, entity_matcher
 from ..operators.integrity import integrity, orphans
 from ..operators.keywords import keywords
 from ..operators.language import LanguageModel
 from ..operators.sentiment import model_sentiment, sentiment, train_sentiment
-from ..operators.tagging import DEFAULT_TAGS, linguistic_annotation, pos_tags, sentence_annotations
+from ..operators.tagging import DEFAULT_TAGS, linguistic_annotation, pos_tags, sentence_annotations, token_table
 from ..operators.lookups import LiteralLookup
-from ..operators.topics import topics
+from ..operators.topics import ranked_topics, topics
 from ..plans import processing, reports
 from ..session import scratch_path
 from ..sources import readers, writers
 from ..sources.listing import list_datasets
+from ..streaming.rowwise import clean_stream, write_available
 from .seeded import SEEDED_SQL
 
 JOINER = "\u001f"
@@ -129,6 +130,14 @@ def src_csv_scan(spark, folder):
     return rounded(readers.read_dataset(spark, path, "csv"))
 
 
+@query
+def src_csv_multi_line(spark, folder):
+    """The same, cut by ranges into records, of which many hold line breaks."""
+    path = f"{scratch_path(spark, 'csv')}/docs.csv"
+    writers.write_table(documents(spark, folder), path, "csv")
+    return rounded(readers.read_csv(spark, path, multi_line=True, split=True))
+
+
 # A JSON document of several rows holds about so many, whatever the table's size.
 ROWS_PER_DOCUMENT = 10_000
 
@@ -359,6 +368,17 @@ def clean_aligned(spark, folder):
     )
 
 
+@query
+def stream_clean(spark, folder):
+    """The documents as a stream of files, cleaned and gated as they come, written, and read back."""
+    root = scratch_path(spark, "stream")
+    seeded_texts(spark, folder).write.parquet(f"{root}/in")
+    arriving = spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+    done = write_available(clean_stream(arriving, "text"), f"{root}/out", f"{root}/checkpoint")
+    done.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("doc_id", "text", "text_instruction.is_instruction")
+
+
 # Gates.
 
 
@@ -479,6 +499,30 @@ def q_uniqueness(spark, folder):
     return rounded(pr.uniqueness(documents(spark, folder)).select("uniqueness"))
 
 
+@query
+def q_text_uniqueness_sketch(spark, folder):
+    """Sketches of the documents of each source, kept as a table and united: whether the distinct texts
+    of all and of each source come out within the error that is stated."""
+    docs = documents(spark, folder).select("source", "lang", "text")
+    kept = scratch_path(spark, "sketches")
+    sketches.text_sketches(docs, ("source", "lang")).write.parquet(kept)
+    parts = spark.read.parquet(kept).where("column = 'text'")
+    whole = sketches.united(parts).withColumn("source", F.lit("all"))
+    by_source = sketches.united(parts, ("source",))
+    exact = docs.groupBy("source").agg(F.countDistinct("text").alias("exact")).union(
+        docs.select(F.lit("all"), F.countDistinct("text"))
+    )
+    found = sketches.estimated_uniqueness(whole.unionByName(by_source)).join(exact, "source")
+    gap = F.abs(F.col("distinct_values") - F.col("exact"))
+    return found.select("source", "n_rows", (gap <= F.lit(sketches.ERROR) * F.col("exact")).alias("within_error"))
+
+
+@query
+def q_unreadable_times(spark, folder):
+    dates = seeded(spark, folder).select("source", "end_date")
+    return pr.unreadable_times(dates, "end_date", ("source",))
+
+
 @query
 def q_timeliness(spark, folder):
     return rounded(pr.timeliness(table(spark, folder, "events"), "ts", AS_OF))
@@ -663,6 +707,15 @@ def ann_tokens(spark, folder):
     )
 
 
+@query
+def ann_token_offsets(spark, folder):
+    """Every token with its place in the text."""
+    found = token_table(seeded_texts(spark, folder), "text")
+    return rounded(
+        found.select("doc_id", "position", "token", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"))
+    )
+
+
 @query
 def ann_sentences(spark, folder):
     return seeded_texts(spark, folder).select(
@@ -784,6 +837,12 @@ def ann_topics(spark, folder):
     )
 
 
+@query
+def ann_topics_ranked(spark, folder):
+    """Candidate phrases by their score in the whole corpus, beside text order."""
+    return rounded(ranked_topics(seeded_texts(spark, folder), "text", "doc_id"))
+
+
 @query
 def ann_keywords(spark, folder):
     docs = seeded_texts(spark, folder)

@@ -79,6 +79,20 @@ def tokens_of(cut: Column) -> Column:
     return F.filter(cut, lambda p: starts_ascii(p) | ~p.rlike(P.BLANK_PIECE))
 
 
+def token_spans(text: Column) -> Column:
+    """Array of (token, start, end) of the pieces that are not blank; offsets count code points, end
+    exclusive. They are running totals of the pieces' lengths, since the cut loses nothing."""
+
+    def spans(cut: Column) -> Column:
+        ends = scan(cut, F.lit(0), lambda end, p: end + F.length(p), "int")
+        placed = F.zip_with(
+            cut, ends, lambda p, end: F.struct(p.alias("token"), (end - F.length(p)).alias("start"), end.alias("end"))
+        )
+        return F.filter(placed, lambda t: starts_ascii(t["token"]) | ~t["token"].rlike(P.BLANK_PIECE))
+
+    return F.when(text.isNotNull(), let(pieces(text), spans))
+
+
 # Comparisons of the first byte. They spare most pieces a regular expression.
 
 

@@ -157,6 +157,17 @@ def timeliness_parts(f: T.StructField | None, as_of, config: QualityConfig) -> P
     )
 
 
+def unreadable_times(df: DataFrame, timestamp_column: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., n_filled, n_unreadable): how many values there are, and how many of them are no time, which
+    timeliness passes over."""
+    value = named(timestamp_column)
+    text = isinstance(df.schema[timestamp_column].dataType, T.StringType)
+    unreadable = value.isNotNull() & (parse_time(value).isNull() if text else F.lit(False))
+    return df.groupBy(*[named(b) for b in by]).agg(
+        F.count(value).alias("n_filled"), F.count_if(unreadable).alias("n_unreadable")
+    )
+
+
 def text_accuracy_parts(fields: list[T.StructField], config: QualityConfig) -> tuple[list, list]:
     aggregates, scores = [], []
     for i, f in enumerate(fields):

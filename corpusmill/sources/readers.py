@@ -7,13 +7,13 @@ import re
 from collections.abc import Iterator
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import named
 from ..session import scratch_path
+from .ranges import csv_records, json_records
 
 # Cells of a CSV file that mean "no value".
 NA_TOKENS = (
@@ -101,28 +101,48 @@ def spans_lines(spark: SparkSession, uri: str) -> bool:
     return not lines.where(quotes % 2 == 1).isEmpty()
 
 
-def _csv_cells(spark: SparkSession, uri: str, multi_line: bool | None, names=None) -> DataFrame:
+def _split_bytes(spark: SparkSession) -> int:
+    """The size up to which a file is one task's."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def _has_large_file(spark: SparkSession, uri: str) -> bool:
+    """Whether some file is larger than one task reads; the files are listed, not read."""
+    lengths = spark.read.format("binaryFile").load(uri).select("length")
+    return not lengths.where(F.col("length") > _split_bytes(spark)).isEmpty()
+
+
+def _csv_cells(spark: SparkSession, uri: str, multi_line: bool | None, names=None, split: bool | None = None) -> DataFrame:
     """All cells as text, those that mean "no value" as null."""
     if multi_line is None:
         multi_line = spans_lines(spark, uri)
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    return _without_na(reader.option("inferSchema", False).csv(uri))
+    cells = reader.option("inferSchema", False).csv(uri)
+    if multi_line and (_has_large_file(spark, uri) if split is None else split):
+        schema = ", ".join(f"c{i} string" for i in range(len(cells.columns)))
+        row = F.from_csv("value", schema, {"multiLine": "true", "escape": '"'})
+        rows = csv_records(spark, uri).where(~F.col("first")).select(row.alias("r"))
+        cells = rows.select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(cells.columns)])
+    return _without_na(cells)
 
 
 def read_csv(spark: SparkSession, uri: str, schema: T.StructType | None = None,
-             multi_line: bool | None = None) -> DataFrame:
+             multi_line: bool | None = None, split: bool | None = None) -> DataFrame:
     """A CSV dataset with header.
 
     Cells that mean "no value" are null before the types are found or, with a
     ``schema``, cast; a schema saves the pass that finds them, and a cell that does not fit it is an
-    error. Large files are split between tasks unless a cell holds a line break. That
-    is found by a pass over the lines, which ``multi_line`` True or False saves.
+    error. Large files are split between tasks. Where a cell holds a line break, which a pass over
+    the lines finds and ``multi_line`` True or False tells without, a file larger than one task
+    reads is cut into records by ranges (see ``ranges``); ``split`` True or False decides that
+    for all files.
     """
     if schema is None:
-        return infer_types(_csv_cells(spark, uri, multi_line))
-    cells = _csv_cells(spark, uri, multi_line, schema.fieldNames())
+        return infer_types(_csv_cells(spark, uri, multi_line, split=split))
+    cells = _csv_cells(spark, uri, multi_line, schema.fieldNames(), split)
     return cells.select(
         *[
             named(f.name) if isinstance(f.dataType, T.StringType)
@@ -132,67 +152,29 @@ def read_csv(spark: SparkSession, uri: str, schema: T.StructType | None = None,
     )
 
 
-def _json_records(text: str) -> Iterator[str]:
-    """The records of all JSON documents in a text, each on one line.
+def _document_records(text: str) -> Iterator[str]:
+    """The records of a JSON document that is no list, each on one line.
 
-    A document is a list of records, a record, or columns of cells (an object of objects
-    that all have the same numbers as keys). Anything else is an error.
+    It is a record, or columns of cells (an object of objects that all have the same numbers as
+    keys). Anything else is an error.
     """
-    decoder, blanks = json.JSONDecoder(), re.compile(r"[ \t\r\n]*")
-
-    def skip(at: int) -> int:
-        return blanks.match(text, at).end()
-
-    def one_line(start: int, end: int) -> str:
+    value = json.loads(text)
+    if not isinstance(value, dict):
+        raise ValueError("a JSON document must be a list, a record or columns")
+    columns = list(value.values())
+    keys = columns[0].keys() if columns and isinstance(columns[0], dict) else ()
+    if keys and all(isinstance(c, dict) and c.keys() == keys for c in columns) and all(k.isdigit() for k in keys):
+        for k in sorted(keys, key=int):
+            yield json.dumps({name: column[k] for name, column in value.items()})
+    else:
         # Line breaks stand between tokens only; inside a string they are escaped.
-        return text[start:end].replace("\r", " ").replace("\n", " ")
-
-    at = skip(0)
-    while at < len(text):
-        if text[at] == "[":
-            at = skip(at + 1)
-            while text[at : at + 1] != "]":
-                _, end = decoder.raw_decode(text, at)
-                yield one_line(at, end)
-                at = skip(end)
-                if text[at : at + 1] == ",":
-                    at = skip(at + 1)
-                elif text[at : at + 1] != "]":
-                    raise ValueError(f"no comma between the records at character {at}")
-            end = at + 1
-        else:
-            value, end = decoder.raw_decode(text, at)
-            if not isinstance(value, dict):
-                raise ValueError("a JSON document must be a list, a record or columns")
-            columns = list(value.values())
-            keys = columns[0].keys() if columns and isinstance(columns[0], dict) else ()
-            if keys and all(isinstance(c, dict) and c.keys() == keys for c in columns) and all(k.isdigit() for k in keys):
-                for k in sorted(keys, key=int):
-                    yield json.dumps({name: column[k] for name, column in value.items()})
-            else:
-                yield one_line(at, end)
-        at = skip(end)
+        yield text.replace("\r", " ").replace("\n", " ")
 
 
 def _documents_as_lines(spark: SparkSession, files: list[str] | str) -> str:
-    """Write the records of whole-file documents as JSON lines; the folder written."""
-
-    def split(batches):
-        for batch in batches:
-            for path, text in zip(batch["path"], batch["value"], strict=True):
-                try:
-                    lines = list(_json_records(text))
-                except ValueError as error:
-                    raise ValueError(f"malformed JSON in {path}: {error}") from None
-                yield pd.DataFrame({"value": lines}, dtype=object)
-
+    """Write the records of JSON documents as lines; the folder written."""
     out = scratch_path(spark, "json-records")
-    (
-        spark.read.text(files, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
-        .mapInPandas(split, "value string")
-        .write.text(out)
-    )
+    json_records(spark, files, _document_records).write.text(out)
     return out
 
 
@@ -201,8 +183,9 @@ def read_json(spark: SparkSession, uri: str, schema: T.StructType | None = None)
 
     A document is a list of records, a record, or columns of cells. A file whose lines
     (two or more) all begin and end as an object does is read by line and split between tasks;
-    the documents of any other are first written as lines, by one task for each file.
-    Malformed documents are an error, not rows of nulls.
+    the documents of any other are cut by ranges (see ``ranges``) and first written as lines. A list
+    of any length is split, wherever its line breaks are; a record, and columns of cells, are
+    one task's. Malformed documents are an error, not rows of nulls.
     """
     line = F.trim(F.col("value"), F.lit(" \t\r\n"))
     files = (

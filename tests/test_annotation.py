@@ -231,3 +231,32 @@ def test_given_counts_with_tags_keep_unseen_words(spark):
         found = {(r["id"], r["text"]): r["score"] for r in rows}
         assert set(found) == {(1, "walrus"), (1, "zebra"), (2, "walrus")}
         assert abs(found[1, "zebra"] + math.log(UNSEEN_COUNT / 24)) < 1e-9
+
+
+def test_token_offsets_cut_the_text(spark):
+    texts = ["One  two, \t3.5% é\U0001f600x a@b.co\n", "", None, "   ", "https://x.y/z? end"]
+    found = {i: [] for i in range(len(texts))}
+    for r in token_table(frame(spark, texts), "text").orderBy("id", "position").collect():
+        assert texts[r.id][r.start:r.end] == r.token and r.position == len(found[r.id])
+        found[r.id].append(r.token)
+    expected = frame(spark, texts).select("id", tokens(F.col("text")).alias("t")).collect()
+    assert found == {r.id: r.t or [] for r in expected}
+
+
+@pytest.mark.parametrize("hot_share", [1e-5, 0.1, 2.0])
+def test_topic_scores_by_hand(spark, monkeypatch, hot_share):
+    """Degree over frequency over the corpus; broadcast and joined words score alike."""
+    from corpusmill.operators import topics
+
+    monkeypatch.setattr(topics, "HOT_SHARE", hot_share)
+    docs = frame(spark, ["Linear systems and linear equations. Linear Systems", "the systems", None, "the of"])
+    # Phrases: linear systems (twice), linear equations, systems.
+    linear, systems, equations = (2 + 2 + 2) / 3, (2 + 2 + 1) / 3, 2 / 1
+    rows = topics.ranked_topics(docs, "text", "id").orderBy("id", "position").collect()
+    assert [(r.id, r.position, r.topic, r["rank"], r.score) for r in rows] == [
+        (0, 0, "Linear systems", 2, pytest.approx(linear + systems)),
+        (0, 1, "linear equations", 1, pytest.approx(linear + equations)),
+        (1, 0, "systems", 1, pytest.approx(systems)),
+    ]
+    few = topics.ranked_topics(docs, "text", "id", most=1).collect()
+    assert sorted(r.topic for r in few) == ["linear equations", "systems"]

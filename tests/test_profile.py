@@ -158,3 +158,25 @@ def test_gate_scores(spark):
     assert batch_gate(bad).count() == 0 and batch_gate(bad, -9.0).count() == 3
     # One row has no deviation: the score is unknown, the gate stays shut.
     assert batch_gate(spark.createDataFrame([("x",)], "t string")).count() == 0
+
+
+def test_sketches_unite(spark):
+    from corpusmill.operators import sketches
+
+    rows = [(f"day{i % 4}", f"text {i % 3000}", None if i % 2 else "same", i) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "day string, t string, u string, n int")
+    parts = sketches.text_sketches(df, ("day",))
+    assert parts.count() == 8 and parts.columns == ["day", "column", "n_rows", "n_values", "sketch"]
+    found = {r["column"]: r for r in sketches.estimated_uniqueness(sketches.united(sketches.united(parts, ("day",)))).collect()}
+    assert found["t"].n_rows == 12_000 and abs(found["t"].distinct_values - 3000) <= sketches.ERROR * 3000
+    assert (found["u"].n_values, found["u"].distinct_values) == (6000, 1)
+    assert sketches.text_sketches(df.select("n")).count() == 0
+    empty = sketches.estimated_uniqueness(sketches.text_sketches(df.limit(0))).collect()
+    assert {(r["column"], r.distinct_values, r.uniqueness) for r in empty} == {("day", 0, 0.0), ("t", 0, 0.0), ("u", 0, 0.0)}
+
+
+def test_values_that_are_no_time_are_counted(spark):
+    df = spark.createDataFrame([("2024-01-01", "a"), ("01/02/2024", "a"), ("soon", "a"), (None, "b"), ("", "b")], "t string, g string")
+    assert {tuple(r) for r in pr.unreadable_times(df, "t", ("g",)).collect()} == {("a", 3, 1), ("b", 1, 1)}
+    times = df.select(F.to_date(F.lit("2024-01-01")).alias("t"))
+    assert tuple(pr.unreadable_times(times, "t").first()) == (5, 0)
