@@ -14,6 +14,7 @@ from corpusmill.operators import entities as ent
 from corpusmill.operators import keywords as kw
 from corpusmill.operators import sentiment as sent
 from corpusmill.operators import tagging
+from corpusmill.operators.tagging import token_table
 from corpusmill.operators.annotate import annotate, register_annotator, unregister_annotator
 from corpusmill.operators.stopwords import ALL_STOP_WORDS
 
