@@ -774,13 +774,13 @@ ORACLES = {
       phrase AS (SELECT doc_id, unnest(runs) AS topic, unnest(range(0, len(runs))) AS ix FROM phrase_text),
       parts AS (SELECT lower(topic) AS folded, {words('lower(topic)')} AS ws FROM phrase),
       used AS (SELECT len(ws) AS size, unnest(ws) AS word FROM parts),
-      word_score AS (SELECT word, sum(size) / count(*) AS score FROM used GROUP BY word),
+      word_score AS (SELECT word, sum(size)::BIGINT * 1000000 // count(*) AS score FROM used GROUP BY word),
       different AS (SELECT DISTINCT folded, ws FROM parts),
       of_phrase AS (SELECT folded, unnest(ws) AS word FROM different),
-      phrase_score AS (SELECT folded, round(sum(score), 9) AS score FROM of_phrase JOIN word_score USING (word) GROUP BY folded),
+      phrase_score AS (SELECT folded, sum(score)::BIGINT / 1000000.0::DOUBLE AS score FROM of_phrase JOIN word_score USING (word) GROUP BY folded),
       firsts AS (SELECT * FROM phrase QUALIFY row_number() OVER (PARTITION BY doc_id, lower(topic) ORDER BY ix) = 1)
       SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ix) - 1 AS position, topic,
-        row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, ix) AS rank, round(score, 6) AS score
+        row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, ix) AS rank, score
       FROM firsts JOIN phrase_score ON lower(topic) = folded""",
     "ann_keywords": f"WITH {SEEDED}, {keyword_ctes(False)} SELECT doc_id, rank, text, pos, round(score, 6) AS score FROM keyword",
     "ann_keywords_tagged": f"WITH {SEEDED}, {keyword_ctes(True)} SELECT doc_id, rank, text, pos, round(score, 6) AS score FROM keyword",

@@ -840,7 +840,8 @@ def ann_topics(spark, folder):
 @query
 def ann_topics_ranked(spark, folder):
     """Candidate phrases by their score in the whole corpus, beside text order."""
-    return rounded(ranked_topics(seeded_texts(spark, folder), "text", "doc_id"))
+    found = ranked_topics(seeded_texts(spark, folder), "text", "doc_id")
+    return found.select("doc_id", F.col("position").cast("bigint"), "topic", F.col("rank").cast("bigint"), "score")
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import let, named, pieces, scan, starts_digit, starts_letter
+from ..session import written
 from .bloom import BloomFilter
 from .lookups import MAX_LITERAL_ENTRIES, LiteralLookup, RowLookup, attach_matches
 
@@ -268,6 +269,8 @@ def entity_matcher(
         return df, literal_matcher({r.phrase: r.label for r in rows}, spark)
     if row_key is None:
         raise ValueError(f"a gazetteer of more than {limit} phrases needs row_key")
+    # Read several times from here on.
+    gazetteer = written(gazetteer.groupBy("phrase").agg(F.min("label").alias("label")), "gazetteer")
     # One row for each length that occurs.
     lengths = gazetteer.where(F.col("phrase") != "").select(F.size(pieces(F.col("phrase"))).alias("n")).distinct()
     spans = sorted((r.n for r in lengths.collect()), reverse=True)

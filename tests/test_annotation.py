@@ -255,9 +255,9 @@ def test_topic_scores_by_hand(spark, monkeypatch, hot_share):
     linear, systems, equations = (2 + 2 + 2) / 3, (2 + 2 + 1) / 3, 2 / 1
     rows = topics.ranked_topics(docs, "text", "id").orderBy("id", "position").collect()
     assert [(r.id, r.position, r.topic, r["rank"], r.score) for r in rows] == [
-        (0, 0, "Linear systems", 2, pytest.approx(linear + systems)),
-        (0, 1, "linear equations", 1, pytest.approx(linear + equations)),
-        (1, 0, "systems", 1, pytest.approx(systems)),
+        (0, 0, "Linear systems", 2, pytest.approx(linear + systems, abs=3e-6)),
+        (0, 1, "linear equations", 1, pytest.approx(linear + equations, abs=3e-6)),
+        (1, 0, "systems", 1, pytest.approx(systems, abs=3e-6)),
     ]
     few = topics.ranked_topics(docs, "text", "id", most=1).collect()
     assert sorted(r.topic for r in few) == ["linear equations", "systems"]
