@@ -5,6 +5,9 @@ those of the documents joined with those of the benchmark items, so that a quest
 asked again with other numbers or names still meets its item. Along each alignment the slots are
 then checked: one filler of the item must always stand for one filler of the document.
 
+A capitalised word at the beginning of a sentence may be a name or not, so there are two templates of
+each text, one in which it stays a word and one in which it is a name.
+
 Beside the templates, windows of the words and numbers themselves, in lower case, find what recurs
 literally: copies in another letter case, items that are mostly numbers, and copies with a few
 fillers altered, whatever their other slots say.
@@ -12,6 +15,8 @@ fillers altered, whatever their other slots say.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +35,9 @@ UNITS = (
 ).split()
 _NAME, _UNIT = "\x01", "\x02"
 _NUMBER_SLOT, _NAME_SLOT, _UNIT_SLOT = "#n", "#p", "#u"
-_MARKS = [
-    (r"(?<=[\p{L}\d,;] )(\p{Lu}\p{Ll}+)(?![\p{L}\d])", _NAME + "$1"),
-    (r"(?<=\d ?)(" + "|".join(UNITS) + r")(?![\p{L}\d])", _UNIT + "$1"),
-]
+_NAME_INSIDE = r"(?<=[\p{L}\d,;] )(\p{Lu}\p{Ll}+)(?![\p{L}\d])"
+_NAME_ANYWHERE = r"(?<![\p{L}\d])(\p{Lu}\p{Ll}+)(?![\p{L}\d])"
+_UNIT_MARK = (r"(?<=\d ?)(" + "|".join(UNITS) + r")(?![\p{L}\d])", _UNIT + "$1")
 _TOKEN = (
     _NAME + r"\p{Lu}\p{Ll}+(?: " + _NAME + r"\p{Lu}\p{Ll}+)*+"
     r"|" + _UNIT + r"?\p{L}++"
@@ -42,13 +46,13 @@ _TOKEN = (
 _LITERAL = r"\p{L}++|\d++(?:[.,:]\d++)*+"
 
 
-def tokens(text: Column) -> Column:
+def tokens(text: Column, initials: bool = False) -> Column:
     """Words, numbers, and runs of names as one token; names and units carry a mark.
 
-    A name is a capitalised word after a letter, a digit, a comma or a semicolon and a blank; a unit is
-    one of ``UNITS`` after a number.
+    A name is a capitalised word after a letter, a digit, a comma or a semicolon and a blank, with
+    ``initials`` any capitalised word; a unit is one of ``UNITS`` after a number.
     """
-    for pattern, mark in _MARKS:
+    for pattern, mark in ((_NAME_ANYWHERE if initials else _NAME_INSIDE, _NAME + "$1"), _UNIT_MARK):
         text = F.regexp_replace(text, pattern, mark)
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
@@ -76,21 +80,22 @@ def window_hashes(template: Column, size: int) -> Column:
     return let(F.transform(template, lambda t: F.xxhash64(t)), of_hashes)
 
 
-def _template(text: Column) -> Column:
-    return F.transform(tokens(text), canonical)
+def _template(text: Column, initials: bool) -> Column:
+    return F.transform(tokens(text, initials), canonical)
 
 
 def _literal(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(_LITERAL), F.lit(0)), lambda t: F.lower(t))
 
 
-def _cut(text: Column, exact: bool) -> Column:
-    return _literal(text) if exact else _template(text)
+def _cut(text: Column, exact: bool, initials: bool) -> Column:
+    return _literal(text) if exact else _template(text, initials)
 
 
-def benchmark_windows(items: DataFrame, item: str, text: str) -> DataFrame:
+def benchmark_windows(items: DataFrame, item: str, text: str, initials: bool = False) -> DataFrame:
     """(item, item_version, exact, size, n_windows, item_at, h, slotted): the windows of each item, of its literal
-    words and numbers (exact) and of its template. Windows of the template that are mostly slots say too
+    words and numbers (exact) and of its template; with ``initials`` only of the template in which
+    capitalised words at the beginning of a sentence are names too. Windows of the template that are mostly slots say too
     little; they are left out and not counted in n_windows.
 
     An item of fewer than ``WINDOW`` tokens is one window of its own size; one of fewer than
@@ -98,9 +103,10 @@ def benchmark_windows(items: DataFrame, item: str, text: str) -> DataFrame:
     """
     cut = items.select(named(item).alias("item"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text")).distinct()
     parts = []
-    for exact in (False, True):
+    for exact in (False,) if initials else (False, True):
         part = cut.select(
-            "item", F.xxhash64("text").alias("item_version"), F.lit(exact).alias("exact"), _cut(F.col("text"), exact).alias("template")
+            "item", F.xxhash64("text").alias("item_version"), F.lit(exact).alias("exact"),
+            _cut(F.col("text"), exact, initials).alias("template"),
         )
         part = part.withColumn("size", F.least(F.size("template"), F.lit(WINDOW))).where(F.col("size") >= SHORTEST)
         hashes = F.lit(None).cast("array<bigint>")
@@ -127,7 +133,7 @@ def benchmark_windows(items: DataFrame, item: str, text: str) -> DataFrame:
                 (slots(F.col("item_at")) > 0).alias("slotted"),
             )
         )
-    return parts[0].union(parts[1])
+    return reduce(DataFrame.union, parts)
 
 
 def _consistent(item_tokens: Column, doc_tokens: Column, places: Column, shift: Column) -> Column:
@@ -168,21 +174,25 @@ def contaminated(
     source = keyed_texts(docs, key, text).withColumns(
         {"id_hash": F.xxhash64("doc"), "version": F.xxhash64("text")}
     )
-    index = saved(benchmark_windows(items, item, item_text), "benchmark-windows")
-    sizes = [(r["exact"], r["size"]) for r in index.select("exact", "size").distinct().collect()]  # 2 * WINDOW at most
+    kinds = [
+        benchmark_windows(items, item, item_text, initials).withColumn("initials", F.lit(initials)) for initials in (False, True)
+    ]
+    index = saved(kinds[0].union(kinds[1]), "benchmark-windows")
+    # 3 * WINDOW at most.
+    sizes = [tuple(r) for r in index.select("exact", "initials", "size").distinct().collect()]
     small = index.count() <= MAX_BROADCAST_WINDOWS
     found = None
-    for exact, size in sizes or [(False, WINDOW)]:
-        of_size = index.where((F.col("size") == size) & (F.col("exact") == exact))
+    for exact, initials, size in sizes or [(False, False, WINDOW)]:
+        of_size = index.where((F.col("size") == size) & (F.col("exact") == exact) & (F.col("initials") == initials))
         part = (
-            source.select("doc", "id_hash", "version", _cut(F.col("text"), exact).alias("template"))
+            source.select("doc", "id_hash", "version", _cut(F.col("text"), exact, initials).alias("template"))
             .select("doc", "id_hash", "version", F.posexplode(window_hashes(F.col("template"), size)).alias("at", "h"))
             .join(F.broadcast(of_size) if small else of_size, "h")
         )
         found = part if found is None else found.union(part)
     aligned = saved(
         found.groupBy(
-            "id_hash", "version", "item", "item_version", "exact", "size", "n_windows",
+            "id_hash", "version", "item", "item_version", "exact", "initials", "size", "n_windows",
             (F.col("at") - F.col("item_at")).alias("shift"),
         )
         .agg(
@@ -196,8 +206,15 @@ def contaminated(
     )
     plain = aligned.where(~F.col("slotted")).withColumn("changed", F.lit(False))
     item_texts = items.select(F.coalesce(named(item_text).cast("string"), F.lit("")).alias("item_text")).distinct()
-    cut_items = item_texts.select(
-        F.xxhash64("item_text").alias("item_version"), tokens(F.col("item_text")).alias("item_tokens")
+    cut_items = reduce(
+        DataFrame.union,
+        [
+            item_texts.select(
+                F.xxhash64("item_text").alias("item_version"), F.lit(initials).alias("initials"),
+                tokens(F.col("item_text"), initials).alias("item_tokens"),
+            )
+            for initials in (False, True)
+        ],
     )
     # Only the texts with such an alignment go on; repeated rows meet again in the last grouping.
     cut_docs = source.select("id_hash", "version", "text")
@@ -206,8 +223,8 @@ def contaminated(
     )
     checked = (
         cut_docs.join(aligned.where("slotted"), ["id_hash", "version"])
-        .withColumn("doc_tokens", tokens(F.col("text")))
-        .join(cut_items, "item_version")
+        .withColumn("doc_tokens", F.when(F.col("initials"), tokens(F.col("text"), True)).otherwise(tokens(F.col("text"))))
+        .join(cut_items, ["item_version", "initials"])
         .withColumn("places", places)
         .withColumn("slots", _consistent(F.col("item_tokens"), F.col("doc_tokens"), F.col("places"), F.col("shift")))
         .where("slots.holds")

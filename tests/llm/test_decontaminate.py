@@ -94,3 +94,14 @@ def test_only_windows_that_can_match_are_counted(spark):
     for exact in (False, True):
         part = [r for r in rows if r["exact"] == exact]
         assert part and {r["n_windows"] for r in part} == {len(part)}
+
+
+def test_names_at_the_beginning_of_sentences(spark):
+    item = "Peter has 12 apples. Anna takes 5 of them away. How many apples does Peter have left in his basket?"
+    again = "Mary has 30 apples. Tom takes 7 of them away. How many apples does Mary have left in his basket?"
+    swapped = "Mary has 30 apples. Tom takes 7 of them away. How many apples does Tom have left in his basket?"
+    plain = "Trees grow here. Rivers run by them away. Apples cost 3 coins and Mary likes apples."
+    docs = docs_of(spark, f"So. {again} Well.", swapped, plain, item)
+    got = found(docs, items_of(spark, (1, item)))
+    assert (0, 1, True) in got and (3, 1, False) in got
+    assert not {r[0] for r in got} & {2}
