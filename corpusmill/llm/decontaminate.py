@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let, named
+from ..operators.bloom import BloomFilter
 from .common import keyed_texts, saved
 
 WINDOW = 8
@@ -35,9 +36,10 @@ UNITS = (
 ).split()
 _NAME, _UNIT = "\x01", "\x02"
 _NUMBER_SLOT, _NAME_SLOT, _UNIT_SLOT = "#n", "#p", "#u"
-_NAME_INSIDE = r"(?<=[\p{L}\d,;] )(\p{Lu}\p{Ll}+)(?![\p{L}\d])"
-_NAME_ANYWHERE = r"(?<![\p{L}\d])(\p{Lu}\p{Ll}+)(?![\p{L}\d])"
-_UNIT_MARK = (r"(?<=\d ?)(" + "|".join(UNITS) + r")(?![\p{L}\d])", _UNIT + "$1")
+_MARKS = [
+    (r"(?<=[\p{L}\d,;] )(\p{Lu}\p{Ll}+)(?![\p{L}\d])", _NAME + "$1"),
+    (r"(?<=\d ?)(" + "|".join(UNITS) + r")(?![\p{L}\d])", _UNIT + "$1"),
+]
 _TOKEN = (
     _NAME + r"\p{Lu}\p{Ll}+(?: " + _NAME + r"\p{Lu}\p{Ll}+)*+"
     r"|" + _UNIT + r"?\p{L}++"
@@ -46,21 +48,25 @@ _TOKEN = (
 _LITERAL = r"\p{L}++|\d++(?:[.,:]\d++)*+"
 
 
-def tokens(text: Column, initials: bool = False) -> Column:
+def tokens(text: Column) -> Column:
     """Words, numbers, and runs of names as one token; names and units carry a mark.
 
-    A name is a capitalised word after a letter, a digit, a comma or a semicolon and a blank, with
-    ``initials`` any capitalised word; a unit is one of ``UNITS`` after a number.
+    A name is a capitalised word after a letter, a digit, a comma or a semicolon and a blank; a unit is
+    one of ``UNITS`` after a number.
     """
-    for pattern, mark in ((_NAME_ANYWHERE if initials else _NAME_INSIDE, _NAME + "$1"), _UNIT_MARK):
+    for pattern, mark in _MARKS:
         text = F.regexp_replace(text, pattern, mark)
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
-def canonical(token: Column) -> Column:
-    """The word in lower case, or the placeholder of a slot."""
+def canonical(token: Column, initials: Column | bool = False) -> Column:
+    """The word in lower case, or the placeholder of a slot. With ``initials`` a capitalised word
+    without a mark, as at the beginning of a sentence, is a name as well."""
+    initials = F.lit(initials) if isinstance(initials, bool) else initials
+    # Comparisons spare most words the regular expression.
+    may_be_name = initials & ((token < "[") | (token >= "\x80"))
     return (
-        F.when(token >= "A", F.lower(token))
+        F.when(token >= "A", F.when(may_be_name & token.rlike(r"^\p{Lu}\p{Ll}+$"), _NAME_SLOT).otherwise(F.lower(token)))
         .when(token >= "0", F.lit(_NUMBER_SLOT))
         .when(token.startswith(_NAME), F.lit(_NAME_SLOT))
         .otherwise(F.lit(_UNIT_SLOT))
@@ -81,7 +87,7 @@ def window_hashes(template: Column, size: int) -> Column:
 
 
 def _template(text: Column, initials: bool) -> Column:
-    return F.transform(tokens(text, initials), canonical)
+    return F.transform(tokens(text), lambda t: canonical(t, initials))
 
 
 def _literal(text: Column) -> Column:
@@ -136,9 +142,28 @@ def benchmark_windows(items: DataFrame, item: str, text: str, initials: bool = F
     return reduce(DataFrame.union, parts)
 
 
-def _consistent(item_tokens: Column, doc_tokens: Column, places: Column, shift: Column) -> Column:
+def _document_windows(text: Column, exact: bool, size: int) -> Column:
+    """array<struct<initials, at, h>>: the windows of a text, those of both templates from one cut."""
+
+    def of(template: Column, initials: bool) -> Column:
+        return F.transform(
+            window_hashes(template, size),
+            lambda h, at: F.struct(F.lit(initials).alias("initials"), at.alias("at"), h.alias("h")),
+        )
+
+    if exact:
+        return of(_literal(text), False)
+    return let(
+        tokens(text),
+        lambda cut: F.concat(
+            *[of(F.transform(cut, lambda t: canonical(t, initials)), initials) for initials in (False, True)]
+        ),
+    )
+
+
+def _consistent(item_tokens: Column, doc_tokens: Column, places: Column, shift: Column, initials: Column) -> Column:
     """At the item's slots among ``places``, one filler of the item stands for one of the document."""
-    slots = F.filter(places, lambda i: canonical(F.get(item_tokens, i)).startswith("#"))
+    slots = F.filter(places, lambda i: canonical(F.get(item_tokens, i), initials).startswith("#"))
     pairs = F.transform(
         slots,
         lambda i: F.struct(F.get(item_tokens, i).alias("of"), F.get(doc_tokens, i + shift).alias("by")),
@@ -178,16 +203,14 @@ def contaminated(
         benchmark_windows(items, item, item_text, initials).withColumn("initials", F.lit(initials)) for initials in (False, True)
     ]
     index = saved(kinds[0].union(kinds[1]), "benchmark-windows")
-    # 3 * WINDOW at most.
-    sizes = [tuple(r) for r in index.select("exact", "initials", "size").distinct().collect()]
+    sizes = [tuple(r) for r in index.select("exact", "size").distinct().collect()]  # 2 * WINDOW at most
     small = index.count() <= MAX_BROADCAST_WINDOWS
     found = None
-    for exact, initials, size in sizes or [(False, False, WINDOW)]:
-        of_size = index.where((F.col("size") == size) & (F.col("exact") == exact) & (F.col("initials") == initials))
+    for exact, size in sizes or [(False, WINDOW)]:
+        of_size = index.where((F.col("size") == size) & (F.col("exact") == exact))
         part = (
-            source.select("doc", "id_hash", "version", _cut(F.col("text"), exact, initials).alias("template"))
-            .select("doc", "id_hash", "version", F.posexplode(window_hashes(F.col("template"), size)).alias("at", "h"))
-            .join(F.broadcast(of_size) if small else of_size, "h")
+            source.select("doc", "id_hash", "version", F.inline(_document_windows(F.col("text"), exact, size)))
+            .join(F.broadcast(of_size) if small else of_size, ["h", "initials"])
         )
         found = part if found is None else found.union(part)
     aligned = saved(
@@ -206,27 +229,23 @@ def contaminated(
     )
     plain = aligned.where(~F.col("slotted")).withColumn("changed", F.lit(False))
     item_texts = items.select(F.coalesce(named(item_text).cast("string"), F.lit("")).alias("item_text")).distinct()
-    cut_items = reduce(
-        DataFrame.union,
-        [
-            item_texts.select(
-                F.xxhash64("item_text").alias("item_version"), F.lit(initials).alias("initials"),
-                tokens(F.col("item_text"), initials).alias("item_tokens"),
-            )
-            for initials in (False, True)
-        ],
+    cut_items = item_texts.select(
+        F.xxhash64("item_text").alias("item_version"), tokens(F.col("item_text")).alias("item_tokens")
     )
-    # Only the texts with such an alignment go on; repeated rows meet again in the last grouping.
-    cut_docs = source.select("id_hash", "version", "text")
+    # Only the texts with such an alignment go on; a Bloom filter keeps the others out of the shuffle. Repeated
+    # rows meet again in the last grouping.
+    row = F.xxhash64("id_hash", "version")
+    needed = BloomFilter.of(aligned.where("slotted").select(row.alias("row")), "row")
+    cut_docs = source.select("id_hash", "version", "text").where(needed.might_hold(row))
     places = F.array_distinct(
         F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("size") - 1)))
     )
     checked = (
         cut_docs.join(aligned.where("slotted"), ["id_hash", "version"])
-        .withColumn("doc_tokens", F.when(F.col("initials"), tokens(F.col("text"), True)).otherwise(tokens(F.col("text"))))
-        .join(cut_items, ["item_version", "initials"])
+        .withColumn("doc_tokens", tokens(F.col("text")))
+        .join(cut_items, "item_version")
         .withColumn("places", places)
-        .withColumn("slots", _consistent(F.col("item_tokens"), F.col("doc_tokens"), F.col("places"), F.col("shift")))
+        .withColumn("slots", _consistent(*[F.col(c) for c in ("item_tokens", "doc_tokens", "places", "shift", "initials")]))
         .where("slots.holds")
         .withColumn("changed", F.col("slots.changed"))
     )
