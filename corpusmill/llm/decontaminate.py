@@ -73,14 +73,16 @@ def canonical(token: Column, initials: Column | bool = False) -> Column:
     )
 
 
-def window_hashes(template: Column, size: int) -> Column:
-    """array<bigint>: a hash of each window of ``size`` tokens of a template."""
+def window_hashes(template: Column, size: int, initials: bool = False) -> Column:
+    """array<bigint>: a hash of each window of ``size`` tokens of a template. Those of the two kinds of
+    templates differ, so that one number is the whole key of a join."""
+    kind = [F.lit(1)] if initials else []
 
     def of_hashes(hashes: Column) -> Column:
         starts = F.sequence(F.lit(0), F.size(hashes) - size)
         return F.when(
             F.size(hashes) >= size,
-            F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(size)])),
+            F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(size)], *kind)),
         ).otherwise(F.array().cast("array<bigint>"))
 
     return let(F.transform(template, lambda t: F.xxhash64(t)), of_hashes)
@@ -117,7 +119,7 @@ def benchmark_windows(items: DataFrame, item: str, text: str, initials: bool = F
         part = part.withColumn("size", F.least(F.size("template"), F.lit(WINDOW))).where(F.col("size") >= SHORTEST)
         hashes = F.lit(None).cast("array<bigint>")
         for size in range(SHORTEST, WINDOW + 1):
-            hashes = F.when(F.col("size") == size, window_hashes(F.col("template"), size)).otherwise(hashes)
+            hashes = F.when(F.col("size") == size, window_hashes(F.col("template"), size, initials)).otherwise(hashes)
 
         def slots(at: Column) -> Column:
             return F.size(F.filter(F.slice("template", at + 1, F.col("size")), lambda t: t.startswith("#")))
@@ -143,20 +145,13 @@ def benchmark_windows(items: DataFrame, item: str, text: str, initials: bool = F
 
 
 def _document_windows(text: Column, exact: bool, size: int) -> Column:
-    """array<struct<initials, at, h>>: the windows of a text, those of both templates from one cut."""
-
-    def of(template: Column, initials: bool) -> Column:
-        return F.transform(
-            window_hashes(template, size),
-            lambda h, at: F.struct(F.lit(initials).alias("initials"), at.alias("at"), h.alias("h")),
-        )
-
+    """array<bigint>: the window hashes of a text; of its two templates, from one cut, one after the other."""
     if exact:
-        return of(_literal(text), False)
+        return window_hashes(_literal(text), size)
     return let(
         tokens(text),
         lambda cut: F.concat(
-            *[of(F.transform(cut, lambda t: canonical(t, initials)), initials) for initials in (False, True)]
+            *[window_hashes(F.transform(cut, lambda t: canonical(t, initials)), size, initials) for initials in (False, True)]
         ),
     )
 
@@ -208,9 +203,16 @@ def contaminated(
     found = None
     for exact, size in sizes or [(False, WINDOW)]:
         of_size = index.where((F.col("size") == size) & (F.col("exact") == exact))
+        # A generator keeps the windows from being computed once for each use.
+        windows = let(
+            _document_windows(F.col("text"), exact, size),
+            lambda w: F.struct((F.size(w) / (1 if exact else 2)).cast("int").alias("n"), w.alias("windows")),
+        )
         part = (
-            source.select("doc", "id_hash", "version", F.inline(_document_windows(F.col("text"), exact, size)))
-            .join(F.broadcast(of_size) if small else of_size, ["h", "initials"])
+            source.select("doc", "id_hash", "version", F.inline(F.array(windows)))
+            .select("doc", "id_hash", "version", "n", F.posexplode("windows").alias("place", "h"))
+            .join(F.broadcast(of_size) if small else of_size, "h")
+            .withColumn("at", F.col("place") % F.col("n"))
         )
         found = part if found is None else found.union(part)
     aligned = saved(
