@@ -203,16 +203,10 @@ def contaminated(
     found = None
     for exact, size in sizes or [(False, WINDOW)]:
         of_size = index.where((F.col("size") == size) & (F.col("exact") == exact))
-        # A generator keeps the windows from being computed once for each use.
-        windows = let(
-            _document_windows(F.col("text"), exact, size),
-            lambda w: F.struct((F.size(w) / (1 if exact else 2)).cast("int").alias("n"), w.alias("windows")),
-        )
+        # Places go on from the first template to the second: on one alignment all are shifted alike.
         part = (
-            source.select("doc", "id_hash", "version", F.inline(F.array(windows)))
-            .select("doc", "id_hash", "version", "n", F.posexplode("windows").alias("place", "h"))
+            source.select("doc", "id_hash", "version", F.posexplode(_document_windows(F.col("text"), exact, size)).alias("at", "h"))
             .join(F.broadcast(of_size) if small else of_size, "h")
-            .withColumn("at", F.col("place") % F.col("n"))
         )
         found = part if found is None else found.union(part)
     aligned = saved(
@@ -247,6 +241,9 @@ def contaminated(
         .withColumn("doc_tokens", tokens(F.col("text")))
         .join(cut_items, "item_version")
         .withColumn("places", places)
+        .withColumn(
+            "shift", F.col("shift") - F.when(F.col("initials"), F.size("doc_tokens") - F.col("size") + 1).otherwise(0)
+        )
         .withColumn("slots", _consistent(*[F.col(c) for c in ("item_tokens", "doc_tokens", "places", "shift", "initials")]))
         .where("slots.holds")
         .withColumn("changed", F.col("slots.changed"))
