@@ -1,12 +1,14 @@
 """Document fingerprints: a homomorphic multiset hash of the paragraphs.
 
 The fingerprint is a vector of sums modulo 2^62. Two wide entries add up 62-bit hashes of
-whole paragraphs: they decide equality, whatever the order. The other entries hold 126
-counters of 20 or 21 bits, three to an entry, to which each piece of a paragraph (a run of
-up to ``PIECE_WORDS`` words) adds the bits of its hash. Less half the number of pieces, the
-counters are a random-sign projection of the multiset of pieces, so that the cosine of two
-fingerprints estimates how much the documents have in common, up to a standard error of
-about 0.09. Adding or taking away a paragraph adds or takes away its vector.
+whole paragraphs: they decide equality, whatever the order. The other entries hold 124
+counters of 31 bits, two to an entry, to which each piece of a paragraph adds the bits of its
+hash. A piece ends where the hash of a word says so, after ``1 / (CUT + 1)`` of the words, so that pieces
+move with the text: a word more or less changes the piece it is in and no other. Less half
+the number of pieces, the counters are a random-sign projection of the multiset of pieces, so
+that the cosine of two fingerprints estimates how much the documents have in common, up to
+a standard error of about 0.09. Adding or taking away a paragraph adds or takes away its
+vector. No text is long enough for a counter to overflow.
 """
 
 from __future__ import annotations
@@ -17,13 +19,15 @@ from pyspark.sql import functions as F
 from ..functions.text import let
 from .common import keyed_texts, saved
 
-PIECE_WORDS = 6
-_SHIFTS = 21
-_LANES = (1 << 0) | (1 << 21) | (1 << 42)
+CUT = 3  # bits of a word's hash that are all 0 where a piece ends
+_SHIFTS = 31
+_OFFSETS = (0, 31)
+_LANES = sum(1 << at for at in _OFFSETS)
 _MODULUS = (1 << 62) - 1
-# Possessive, so that a very long run costs no stack; an overlong word counts as several.
-_PIECE = r"(?:[^ \n]{1,48}+ *+){1," + str(PIECE_WORDS) + r"}+"
-_FIELD = (1 << 21) - 1
+# A word, with the end of its paragraph. Possessive, so that a very long run costs no stack; an overlong word
+# counts as several.
+_WORD = r"[^ \n]{1,48}+(?: *+\n)?+"
+_FIELD = (1 << 31) - 1
 
 
 def _total(values: Column, of) -> Column:
@@ -43,14 +47,39 @@ def _bits(hashes: Column) -> list[Column]:
     ]
 
 
+def _pieces(text: Column) -> Column:
+    """array<array<bigint>>: the hashes of the words of each piece; no piece spans two paragraphs."""
+    words = F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(_WORD), F.lit(0))
+    last = F.lit(~CUT)
+    hashes = F.transform(
+        words, lambda w: F.when(w.endswith("\n"), F.xxhash64(w).bitwiseAND(last)).otherwise(F.xxhash64(w))
+    )
+
+    def cut(h: Column) -> Column:
+        ends = F.filter(
+            F.transform(h, lambda x, i: F.when(x.bitwiseAND(F.lit(CUT)) == 0, i + 1)), lambda i: i.isNotNull()
+        )
+
+        def runs(ends: Column) -> Column:
+            def run(end: Column, i: Column) -> Column:
+                before = F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+                return F.slice(h, before + 1, end - before)
+
+            return F.transform(ends, run)
+
+        return let(ends, runs)
+
+    return let(hashes, cut)
+
+
 def fingerprint(text: Column) -> Column:
-    """array<bigint>: two wide sums, the number of pieces, 42 packed counters.
+    """array<bigint>: two wide sums, the number of pieces, 62 entries of two counters each.
 
     Empty paragraphs count, so that "" and "\\n" differ. Equal texts, and texts whose
-    paragraphs are in another order, have equal fingerprints.
+    paragraphs are in another order, have equal fingerprints. A text's words are held in memory at once.
     """
     paragraphs = F.split(text, "\n", -1)
-    pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+    pieces = F.transform(_pieces(text), lambda p: F.xxhash64(p))
     wide = let(
         paragraphs,
         lambda p: F.array(*[_total(_hashes(p, seed), lambda h: h.bitwiseAND(F.lit(_MODULUS))) for seed in (1, 2)]),
@@ -84,7 +113,7 @@ def _signed(print_: Column) -> Column:
             lambda v: F.array(
                 *[
                     2 * F.shiftrightunsigned(v, s).bitwiseAND(F.lit(_FIELD)) - n
-                    for s in (0, 21, 42)
+                    for s in _OFFSETS
                 ]
             ).cast("array<double>"),
         )

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -41,6 +42,46 @@ def test_likeness(spark):
     assert row["to_e"] == 0.0
 
 
+def compared(spark, one, other):
+    df = spark.createDataFrame([(one, other)], "a array<bigint>, b array<bigint>")
+    return df.select(likeness(F.col("a"), F.col("b"))).first()[0]
+
+
+def test_pieces_move_with_the_text(spark):
+    """One word more in front, within or behind a paragraph of 600 words changes little."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(5000)}" for _ in range(600)]
+    text, front, within, behind = prints(
+        spark,
+        " ".join(words),
+        " ".join(["new", *words]),
+        " ".join([*words[:300], "new", *words[300:]]),
+        " ".join([*words, "new"]),
+    )
+    for other in (front, within, behind):
+        assert compared(spark, text, other) > 0.9
+
+
+def test_brute_force(spark):
+    """The counters are the sums of the bits of each piece's hashes, told piece by piece."""
+    text = "some words of a first paragraph that has several pieces\n\nand a second  one \nlast"
+    (found,) = prints(spark, text)
+    total = [0] * len(found)
+    for paragraph in text.split("\n"):
+        for at, x in enumerate(prints(spark, paragraph)[0]):
+            total[at] += x
+    assert [x % 2**62 for x in total] == found
+    lanes = [(x & (2**31 - 1), x >> 31) for x in found[3:]]
+    assert all(0 <= low <= found[2] and 0 <= high <= found[2] for low, high in lanes)
+
+
+def test_counters_do_not_overflow(spark):
+    (one,) = prints(spark, "\n".join(f"line {i}" for i in range(7)))
+    many = [x * 2**24 % 2**62 for x in one]  # as often added to itself
+    assert many[2] > 10_000_000
+    assert compared(spark, one, many) > 0.999
+
+
 def test_edited_texts(spark):
     rows = [r for r in awkward_rows() if r[0] is not None]
     docs = awkward_docs(spark).where("doc_id IS NOT NULL")
