@@ -6,11 +6,12 @@ stay, packed into words; counting equal groups of bits estimates the similarity,
 chance collisions, and candidates far below the threshold fall away. The others are
 confirmed on the full sets.
 
-Texts with one shingle set are one class, whatever their number. In a bucket of a band each
-class is compared with one of them, the hub; not all pairs are made. Links make components. What
-then shares a bucket without being in its largest component is compared with all others
-there, in cells of bounded size: so no link between components is lost, and work beyond
-the linear only arises where texts share buckets but are not linked.
+Texts with one shingle set are one class, whatever their number. In a bucket of a band one class
+is the hub; classes are compared with the hubs of their buckets, not with each other. Links make
+components. What then shares a bucket without being in its largest component is compared with all
+others there, in cells of bounded size: so no link between components is lost, and work beyond
+the linear only arises where texts share buckets but are not linked. Likely pairs are confirmed the likeliest
+first, and those that are in one component by then are passed over.
 """
 
 from __future__ import annotations
@@ -205,7 +206,7 @@ class _Linker:
         )
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that may be linked by size and estimate."""
+        """The pairs (a, b) that may be linked by size and estimate, with the estimate as score."""
         fields = ["n", *[f"w{i}" for i in range(WORDS)]]
         for side in ("a", "b"):
             own = self.classes.select(
@@ -213,7 +214,8 @@ class _Linker:
             )
             pairs = pairs.join(own, side)
         sides = [{f: F.col(f"{s}_{f}") for f in fields} for s in ("a", "b")]
-        return pairs.where(self.likely(*sides)).select("a", "b")
+        words = [[side[f] for f in fields[1:]] for side in sides]
+        return pairs.where(self.likely(*sides)).select("a", "b", estimate(*words).alias("score"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets have an intersection of at least ``percent`` of the union."""
@@ -234,11 +236,40 @@ class _Linker:
             pairs = pairs.join(
                 self.sets.select(F.col("set_id").alias(side), F.col("shingles").alias(f"{side}_set")), side
             )
-        return pairs.where(linked("a_set", "b_set")).select("a", "b")
+        return pairs.where(linked("a_set", "b_set")).drop("a_set", "b_set")
+
+
+def _joined_roots(roots: DataFrame, pairs: DataFrame, linker: _Linker, label: str) -> DataFrame:
+    """``roots`` (node, root) of all classes that share a bucket, after the links among ``pairs`` (a, b, score).
+
+    The likeliest partner of each class comes first, then pairs estimated at the threshold or above,
+    then all others; pairs that are in one component by then are passed over. So a group of copies is
+    joined by few pairs for each member, and each round's links only join components of the one before.
+    """
+    pairs = saved(pairs, f"{label}-pairs")
+    at_threshold = F.col("score") >= linker.percent / 100
+    best = pairs.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best")).select("a", "best.b")
+    for turn in (best, pairs.where(at_threshold), pairs.where(~at_threshold)):
+        known = turn.select("a", "b")
+        for side in ("a", "b"):
+            known = known.join(
+                roots.select("node", F.col("root").alias(f"{side}_root")), F.col(side) == F.col("node")
+            ).drop("node")
+        apart = saved(known.where(F.col("a_root") != F.col("b_root")), f"{label}-apart")
+        linked = linker.confirmed(apart.select("a", "b", "a_root", "b_root"))
+        links = saved(linked.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), f"{label}-links")
+        if links.isEmpty():
+            continue
+        step = components(links, label).select(F.col("node").alias("root"), F.col("root").alias("further"))
+        roots = saved(
+            roots.join(step, "root", "left").select("node", F.coalesce("further", "root").alias("root")),
+            f"{label}-joined",
+        )
+    return roots
 
 
 def _rest_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, linker: _Linker) -> DataFrame:
-    """Likely pairs that share a bucket and not a component, hubs left out.
+    """(a, b, score): likely pairs that share a bucket and not a component, hubs left out.
 
     In each bucket the classes outside its largest component meet all classes of other
     components there. A bucket is dealt into cells of about ``CELL`` by ``CELL`` classes, and a
@@ -246,9 +277,7 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, linker
     ``FINE`` functions, so that few pairs below the threshold are left to confirm.
     """
     placed = saved(
-        members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            "bucket", "set_id", "hub", F.coalesce("root", "set_id").alias("root")
-        ),
+        members.join(roots.withColumnRenamed("node", "set_id"), "set_id").select("bucket", "set_id", "hub", "root"),
         "placed",
     )
     by_root = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -297,23 +326,20 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, linker
         F.filter(F.arrays_zip("x_bands", "y_bands"), lambda p: p["x_bands"] == p["y_bands"]), 1
     )["x_bands"]
     both_rest = F.col("y_root") != F.col("x_body")
-    return (
-        rest.join(
-            others,
-            (rest["bucket"] == others["bucket"])
-            & (rest["x_cell"] == others["x_cell"])
-            & (rest["y_cell"] == others["y_cell"])
-            & (F.col("x_root") != F.col("y_root"))
-            & (~both_rest | (F.col("x_set_id") < F.col("y_set_id")))
-            & (F.col("hub") != F.col("x_set_id"))
-            & (F.col("hub") != F.col("y_set_id"))
-            & linker.likely(*sides)
-            & (_fine_estimate(sides[0]["fine"], sides[1]["fine"]) >= _bound(linker.percent / 100, FINE))
-            & (first_shared == rest["bucket"]),
-        )
-        .select(F.col("x_set_id").alias("a"), F.col("y_set_id").alias("b"))
-        .distinct()
-    )
+    likeness = _fine_estimate(sides[0]["fine"], sides[1]["fine"])
+    return rest.join(
+        others,
+        (rest["bucket"] == others["bucket"])
+        & (rest["x_cell"] == others["x_cell"])
+        & (rest["y_cell"] == others["y_cell"])
+        & (F.col("x_root") != F.col("y_root"))
+        & (~both_rest | (F.col("x_set_id") < F.col("y_set_id")))
+        & (F.col("hub") != F.col("x_set_id"))
+        & (F.col("hub") != F.col("y_set_id"))
+        & linker.likely(*sides)
+        & (likeness >= _bound(linker.percent / 100, FINE))
+        & (first_shared == rest["bucket"]),
+    ).select(F.col("x_set_id").alias("a"), F.col("y_set_id").alias("b"), likeness.alias("score"))
 
 
 def near_duplicates(
@@ -368,11 +394,9 @@ def near_duplicates(
         .distinct()
     )
     linker = _Linker(classes, _sets_of(source, classes, members, width), percent)
-    links = saved(linker.confirmed(linker.estimated(hub_pairs)), "hub-links")
-    roots = components(links, "hub")
-    more = saved(linker.confirmed(_rest_pairs(members, classes, roots, linker)), "rest-links")
-    if not more.isEmpty():
-        roots = components(links.union(more), "all")
+    roots = saved(members.select(F.col("set_id").alias("node"), F.col("set_id").alias("root")).distinct(), "roots")
+    roots = _joined_roots(roots, linker.estimated(hub_pairs), linker, "hub")
+    roots = _joined_roots(roots, _rest_pairs(members, classes, roots, linker), linker, "rest")
     labelled = saved(
         rows.where(F.col("n") > 0)
         .select("doc", "id_hash", "version", "set_id", "n")

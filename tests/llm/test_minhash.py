@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from corpusmill.llm import minhash
 
@@ -94,3 +95,24 @@ def test_components_of_a_long_path(spark):
     roots = {r["node"]: r["root"] for r in minhash.components(links, "t").collect()}
     assert {roots[i] for i in range(100, 141)} == {100}
     assert (roots[7], roots[3], roots[9]) == (3, 3, 3)
+
+
+def test_pairs_of_one_component_are_passed_over(spark):
+    """Of all pairs among 60 linked classes only a few for each class are confirmed."""
+    asked = []
+
+    class Linker:
+        percent = 85
+
+        def confirmed(self, pairs):
+            asked.append(pairs.count())
+            return pairs
+
+    n = 60
+    pairs = spark.createDataFrame(
+        [(i, j, 0.8 + 0.19 * ((i * 7 + j) % 10) / 10) for i in range(n) for j in range(i)], "a bigint, b bigint, score double"
+    )
+    roots = spark.range(n + 1).select(F.col("id").alias("node"), F.col("id").alias("root"))
+    found = {r["node"]: r["root"] for r in minhash._joined_roots(roots, pairs, Linker(), "t").collect()}
+    assert {found[i] for i in range(n)} == {0} and found[n] == n
+    assert sum(asked) < 3 * n < pairs.count()
