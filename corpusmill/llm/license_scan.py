@@ -33,6 +33,12 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# Templates of up to this many words are notices: the words that tell siblings apart must be there.
+NOTICE_WORDS = 40
+# Words that make another license of one that lacks them.
+VARIANTS = frozenset(
+    "nc nd sa noncommercial noderivatives noderivs sharealike lesser library affero".split()
+)
 # The texts, headers and further notices of public licenses, in files NAME.KIND.txt.
 TEXTS_FOLDER = Path(__file__).parent / "license_texts"
 
@@ -90,7 +96,26 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _stretches(words: list[str], template: list[str]) -> list[tuple[int, int]]:
+def _is_sibling(name: str, template: list[str], words: list[str], pairs: list[tuple[int, int]]) -> bool:
+    """Whether an aligned notice is of another license than ``name``, whatever its coverage.
+
+    Numbers (versions), variants and the parts of the license's name in the template must all be aligned, and
+    the text must not hold a further variant between its aligned words.
+    """
+    if len(template) > NOTICE_WORDS:
+        return False
+    parts = set(name.lower().split("-"))
+    aligned = {b for _, b in pairs}
+    if any(
+        b not in aligned and (w in parts or w in VARIANTS or any(c.isdigit() for c in w))
+        for b, w in enumerate(template)
+    ):
+        return True
+    own = {a for a, _ in pairs}
+    return any(a not in own and words[a] in VARIANTS for a in range(pairs[0][0], pairs[-1][0]))
+
+
+def _stretches(words: list[str], template: list[str], min_coverage: float) -> list[tuple[int, int]]:
     """Parts of the text, in order and apart, where most of the template's words stand close together.
 
     Only words of the template are looked at. So a long text is cut down to what can hold the template;
@@ -98,7 +123,7 @@ def _stretches(words: list[str], template: list[str]) -> list[tuple[int, int]]:
     """
     wanted, width = set(template), int(STRETCH * len(template)) + 1
     places = [i for i, w in enumerate(words) if w in wanted]
-    need = MIN_COVERAGE * len(wanted) - 1e-9
+    need = min(min_coverage, MIN_COVERAGE) * len(wanted) - 1e-9
     inside: Counter = Counter()
     parts: list[tuple[int, int]] = []
     low = 0
@@ -162,6 +187,7 @@ def scan_text(
 
     Where two overlap by more than half of the shorter, the one with more words of its template stays,
     then the one with the higher coverage: a header is no notice besides the text that holds it.
+    A short notice of a sibling license (another version, variant or name) is not reported.
     """
     spans = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     words = [text[a:b].lower() for a, b in spans]
@@ -172,8 +198,10 @@ def scan_text(
         need = min(min_coverage, MIN_COVERAGE) * len(kinds) - 1e-9
         if len(held) < need or len(held & kinds) < need:
             continue
-        for a, b in _stretches(words, template):
+        for a, b in _stretches(words, template, min_coverage):
             for pairs in _notices(words[a:b], template, min_coverage):
+                if _is_sibling(name, template, words[a:b], pairs):
+                    continue
                 hits.append((-len(pairs), -len(pairs) / len(template), name, a + pairs[0][0], a + pairs[-1][0] + 1))
     kept: list[tuple[str, float, int, int]] = []
     for _, coverage, name, start, end in sorted(hits):

@@ -77,3 +77,44 @@ def test_reflowed_and_edited_texts_of_licenses(spark):
     for i, (name, n) in enumerate(names):
         assert [f["license"] for f in found[i]] == [name], (name, n, [(f["license"], f["coverage"]) for f in found[i]])
         assert found[i][0]["coverage"] == 1.0 or n == 1
+
+
+def scanned(text, min_coverage=0.8):
+    from corpusmill.llm.license_scan import _WORD, license_texts, scan_text
+
+    cut = [(k, [w.lower() for w in _WORD.findall(v)]) for k, v in license_texts()]
+    return [h[0] for h in scan_text(text, cut, min_coverage)]
+
+
+def test_siblings_are_told_apart():
+    cc = "This work is licensed under a Creative Commons Attribution"
+    for text in (
+        "Released under the BSD License.",
+        "Released under the Apache License.",
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under the Apache License, Version 1.1.",
+        "Licensed under CC BY 4.0.",
+        "Licensed under CC BY-ND 4.0.",
+        "Licensed under CC BY-NC-ND 4.0.",
+        f"{cc}-NonCommercial 4.0 International License.",
+        f"{cc}-NoDerivatives 4.0 International License.",
+        f"{cc}-NonCommercial-ShareAlike 4.0 International License.",
+        f"{cc} 3.0 International License.",
+    ):
+        assert scanned(text) == [], text
+        assert scanned(f"Some words before. {text} And words after.") == [], text
+    for name, text in TEMPLATES.items():
+        assert scanned(text) == [name]
+    assert scanned(f"{cc}-ShareAlike 4.0 International License.") == ["CC-BY-SA-4.0"]
+    assert scanned(f"{cc} 4.0 Intl. License.") == ["CC-BY-4.0"]
+
+
+def test_lower_coverage_is_honoured():
+    from corpusmill.llm.license_scan import TEXTS_FOLDER
+
+    words = (TEXTS_FOLDER / "ISC.text.txt").read_text("utf-8").split()
+    part = " ".join(words[: int(0.65 * len(words))])
+    assert scanned(part) == []
+    assert "ISC" in scanned(part, 0.5)
