@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import let
 from .common import keyed_texts, saved
 
-CUT = 3  # bits of a word's hash that are all 0 where a piece ends
+CUT = 7  # bits of a word's hash that are all 0 where a piece ends
 _SHIFTS = 31
 _OFFSETS = (0, 31)
 _LANES = sum(1 << at for at in _OFFSETS)
