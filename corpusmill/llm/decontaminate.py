@@ -36,9 +36,10 @@ UNITS = (
 ).split()
 _NAME, _UNIT = "\x01", "\x02"
 _NUMBER_SLOT, _NAME_SLOT, _UNIT_SLOT = "#n", "#p", "#u"
+# Each begins with what most characters are not, so that most places cost one comparison.
 _MARKS = [
-    (r"(?<=[\p{L}\d,;] )(\p{Lu}\p{Ll}+)(?![\p{L}\d])", _NAME + "$1"),
-    (r"(?<=\d ?)(" + "|".join(UNITS) + r")(?![\p{L}\d])", _UNIT + "$1"),
+    (r"(\p{Lu})(?<=[\p{L}\d,;] .)(\p{Ll}++)(?![\p{L}\d])", _NAME + "$1$2"),
+    (r"(\d ?)(" + "|".join(UNITS) + r")(?![\p{L}\d])", "$1" + _UNIT + "$2"),
 ]
 _TOKEN = (
     _NAME + r"\p{Lu}\p{Ll}+(?: " + _NAME + r"\p{Lu}\p{Ll}+)*+"
@@ -59,23 +60,32 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
+def _initial(token: Column) -> Column:
+    """A capitalised word without a mark. Comparisons spare most words the regular expression."""
+    return (token >= "A") & ((token < "[") | (token >= "\x80")) & token.rlike(r"^\p{Lu}\p{Ll}+$")
+
+
 def canonical(token: Column, initials: Column | bool = False) -> Column:
     """The word in lower case, or the placeholder of a slot. With ``initials`` a capitalised word
     without a mark, as at the beginning of a sentence, is a name as well."""
-    initials = F.lit(initials) if isinstance(initials, bool) else initials
-    # Comparisons spare most words the regular expression.
-    may_be_name = initials & ((token < "[") | (token >= "\x80"))
-    return (
-        F.when(token >= "A", F.when(may_be_name & token.rlike(r"^\p{Lu}\p{Ll}+$"), _NAME_SLOT).otherwise(F.lower(token)))
+    plain = (
+        F.when(token >= "A", F.lower(token))
         .when(token >= "0", F.lit(_NUMBER_SLOT))
         .when(token.startswith(_NAME), F.lit(_NAME_SLOT))
         .otherwise(F.lit(_UNIT_SLOT))
     )
+    if initials is False:
+        return plain
+    return F.when(F.lit(initials) & _initial(token), _NAME_SLOT).otherwise(plain)
+
 
+def _token_hashes(template: Column) -> Column:
+    return F.transform(template, lambda t: F.xxhash64(t))
 
-def window_hashes(template: Column, size: int, initials: bool = False) -> Column:
-    """array<bigint>: a hash of each window of ``size`` tokens of a template. Those of the two kinds of
-    templates differ, so that one number is the whole key of a join."""
+
+def window_hashes(hashes: Column, size: int, initials: bool = False) -> Column:
+    """array<bigint>: a hash of each window of ``size`` tokens of a template, of which ``hashes`` has that of each
+    token. Those of the two kinds of templates differ, so that one number is the whole key of a join."""
     kind = [F.lit(1)] if initials else []
 
     def of_hashes(hashes: Column) -> Column:
@@ -85,7 +95,7 @@ def window_hashes(template: Column, size: int, initials: bool = False) -> Column
             F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(size)], *kind)),
         ).otherwise(F.array().cast("array<bigint>"))
 
-    return let(F.transform(template, lambda t: F.xxhash64(t)), of_hashes)
+    return let(hashes, of_hashes)
 
 
 def _template(text: Column, initials: bool) -> Column:
@@ -93,7 +103,7 @@ def _template(text: Column, initials: bool) -> Column:
 
 
 def _literal(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(_LITERAL), F.lit(0)), lambda t: F.lower(t))
+    return F.regexp_extract_all(F.lower(text), F.lit(_LITERAL), F.lit(0))
 
 
 def _cut(text: Column, exact: bool, initials: bool) -> Column:
@@ -116,10 +126,14 @@ def benchmark_windows(items: DataFrame, item: str, text: str, initials: bool = F
             "item", F.xxhash64("text").alias("item_version"), F.lit(exact).alias("exact"),
             _cut(F.col("text"), exact, initials).alias("template"),
         )
-        part = part.withColumn("size", F.least(F.size("template"), F.lit(WINDOW))).where(F.col("size") >= SHORTEST)
+        part = (
+            part.withColumn("size", F.least(F.size("template"), F.lit(WINDOW)))
+            .where(F.col("size") >= SHORTEST)
+            .withColumn("token_hashes", _token_hashes(F.col("template")))
+        )
         hashes = F.lit(None).cast("array<bigint>")
         for size in range(SHORTEST, WINDOW + 1):
-            hashes = F.when(F.col("size") == size, window_hashes(F.col("template"), size, initials)).otherwise(hashes)
+            hashes = F.when(F.col("size") == size, window_hashes(F.col("token_hashes"), size, initials)).otherwise(hashes)
 
         def slots(at: Column) -> Column:
             return F.size(F.filter(F.slice("template", at + 1, F.col("size")), lambda t: t.startswith("#")))
@@ -147,13 +161,17 @@ def benchmark_windows(items: DataFrame, item: str, text: str, initials: bool = F
 def _document_windows(text: Column, exact: bool, size: int) -> Column:
     """array<bigint>: the window hashes of a text; of its two templates, from one cut, one after the other."""
     if exact:
-        return window_hashes(_literal(text), size)
-    return let(
-        tokens(text),
-        lambda cut: F.concat(
-            *[window_hashes(F.transform(cut, lambda t: canonical(t, initials)), size, initials) for initials in (False, True)]
-        ),
-    )
+        return window_hashes(_token_hashes(_literal(text)), size)
+
+    def of_both(cut: Column) -> Column:
+        def windows(plain: Column) -> Column:
+            name = F.xxhash64(F.lit(_NAME_SLOT))
+            other = F.zip_with(cut, plain, lambda t, h: F.when(_initial(t), name).otherwise(h))
+            return F.concat(window_hashes(plain, size), window_hashes(other, size, True))
+
+        return let(F.transform(cut, lambda t: F.xxhash64(canonical(t))), windows)
+
+    return let(tokens(text), of_both)
 
 
 def _consistent(item_tokens: Column, doc_tokens: Column, places: Column, shift: Column, initials: Column) -> Column:
