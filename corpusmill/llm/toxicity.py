@@ -1,9 +1,10 @@
 """Toxicity: class-conditional Kneser-Ney models of the characters within words.
 
 Two models, of toxic and of ordinary texts, give each character of a word a probability after
-the characters before it. Their own counts serve orders ``OWN_ORDER`` to ``ORDER``; below,
-both back off to the same continuation counts (how many different characters precede a
-gram), gathered from every document. An expression that neither class knows well thus gets
+the characters before it. How often a class has a gram serves the highest order, ``ORDER``; its
+continuation counts (how many different characters precede a gram in the class) serve those down to
+``OWN_ORDER``, but grams at the beginning of a word, which nothing else precedes, keep plain counts. Below,
+both back off to the same continuation counts, gathered from every document. An expression that neither class knows well thus gets
 the same probability from both and says nothing, and the stems of rare expressions still do.
 
 A text's score comes from length-normalised log-likelihood ratios: per character of the whole
@@ -85,6 +86,10 @@ class Grams:
     def context(self, order: int) -> np.ndarray:
         return self.key(order - 1, 1)
 
+    def opens(self, order: int) -> np.ndarray:
+        """Whether the gram begins before its word does."""
+        return self.chars[self.at - (order - 1)] == 1
+
     def codes(self, order: int) -> np.ndarray:
         """The last ``order`` characters themselves, three at most."""
         out = np.zeros(len(self.at), dtype=np.int64)
@@ -277,7 +282,9 @@ def _merged(pairs: pd.Series, counts: pd.Series) -> tuple[np.ndarray, np.ndarray
 
 
 def _class_grams(labelled: DataFrame) -> DataFrame:
-    """(order, gram, context, n0, n1): how often the words of each class hold each gram."""
+    """(order, gram, context, n0, n1): the Kneser-Ney counts of each gram in the words of each class. Of the highest
+    order, and of grams that begin before their word does: how often they occur; of others: how many
+    different characters precede them."""
 
     def run(batches):
         for batch in batches:
@@ -295,18 +302,35 @@ def _class_grams(labelled: DataFrame) -> DataFrame:
                         {
                             "gram": grams.gram(order),
                             "context": grams.context(order),
+                            "opens": grams.opens(order),
+                            "lower_gram": grams.gram(order - 1),
+                            "lower_context": grams.context(order - 1),
+                            "lower_opens": grams.opens(order - 1),
                             "n0": n[grams.word, 0],
                             "n1": n[grams.word, 1],
                         }
                     )
-                    yield rows.groupby(["gram", "context"], as_index=False).sum().assign(order=order)
+                    keys = [c for c in rows.columns if c not in ("n0", "n1")]
+                    yield rows.groupby(keys, as_index=False).sum().assign(order=order)
 
-    return (
+    plain = (
         labelled.select("text", "toxic")
-        .mapInPandas(run, "gram bigint, context bigint, n0 bigint, n1 bigint, order int")
-        .groupBy("order", "gram", "context")
+        .mapInPandas(
+            run,
+            "gram bigint, context bigint, opens boolean, lower_gram bigint, lower_context bigint, lower_opens boolean, "
+            "n0 bigint, n1 bigint, order int",
+        )
+        .groupBy("order", "gram", "context", "opens", "lower_gram", "lower_context", "lower_opens")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     )
+    plain = saved(plain, "class-grams")
+    # A gram that is one longer is one character before its last ones.
+    preceded = (
+        plain.where((F.col("order") > OWN_ORDER) & ~F.col("lower_opens"))
+        .groupBy((F.col("order") - 1).alias("order"), F.col("lower_gram").alias("gram"), F.col("lower_context").alias("context"))
+        .agg(F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1"))
+    )
+    return plain.where((F.col("order") == ORDER) | F.col("opens")).select(*preceded.columns).union(preceded)
 
 
 def _class_model(rows: pd.DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:

@@ -107,3 +107,72 @@ def test_joined_and_broadcast_counts_score_alike(spark, corpus, monkeypatch):
     for other in scores[1:]:
         assert [r[:2] for r in other] == [r[:2] for r in scores[0]]
         assert [r[2] for r in other] == pytest.approx([r[2] for r in scores[0]])
+
+
+def test_ratios_against_a_plain_kneser_ney_model(spark):
+    import math
+    from collections import Counter, defaultdict
+
+    from corpusmill.llm import toxicity
+
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choices("abcde", k=rng.randint(1, 6))) for _ in range(30)) for _ in range(40)]
+    texts += ["lomé naïve ab ab abab"] * 2
+    labelled = [(i, t, int(i % 3 == 0), i * 7) for i, t in enumerate(texts)]
+
+    def padded(word):
+        return "\x01" * 4 + word + "\x02"
+
+    def grams_of(words, order):  # of each padded word, those that end at a character or its end
+        return [p[i - order + 1 : i + 1] for p in map(padded, words) for i in range(4, len(p))]
+
+    def conditional(counts, lower):
+        total, kinds = defaultdict(int), defaultdict(int)
+        for gram, n in counts.items():
+            total[gram[:-1]] += n
+            kinds[gram[:-1]] += n > 0
+        d = toxicity.DISCOUNT
+
+        def p(gram):
+            context = gram[:-1]
+            if not total[context]:
+                return lower(gram[1:])
+            return max(counts[gram] - d, 0) / total[context] + d * kinds[context] / total[context] * lower(gram[1:])
+
+        return p
+
+    def preceded(longer):
+        return Counter(g[1:] for g in set(longer))
+
+    every = [w for t in texts for w in t.split()]
+    pairs = preceded(grams_of(every, 3))
+    singles = Counter(pair[1] for pair in pairs)
+    kinds = sum(singles.values())
+    spare = 1e-4 * toxicity.DISCOUNT * len(singles) / kinds
+    shared = conditional(pairs, lambda c: max(singles[c] - toxicity.DISCOUNT, 0) / kinds + spare)
+    models = []
+    for label in (0, 1):
+        words = [w for _, t, y, draw in labelled if y == label and _is_own(spark, draw) for w in t.split()]
+        lower = shared
+        for order in (3, 4, 5):
+            raw = Counter(grams_of(words, order))
+            counts = raw if order == 5 else preceded(grams_of(words, order + 1))
+            counts = Counter({g: n for g, n in counts.items() if order == 5 or g[0] != "\x01"})
+            counts.update({g: n for g, n in raw.items() if g[0] == "\x01" and order < 5})
+            lower = conditional(counts, lower)
+        models.append(lower)
+
+    docs = spark.createDataFrame([r[:2] for r in labelled], "doc bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(r[3] // 7, r[2]) for r in labelled], "doc bigint, toxic int")
+    handed, rare, _ = toxicity.fit(docs, labels)
+    assert rare is None
+    asked = [*dict.fromkeys(every), "zzz", "abz", "é"]
+    want = [
+        sum(math.log(max(models[1](g), 1e-9)) - math.log(max(models[0](g), 1e-9)) for g in grams_of([w], 5)) for w in asked
+    ]
+    assert list(handed.value.ratios(asked)) == pytest.approx(want, abs=1e-5)
+
+
+def _is_own(spark, draw):
+    """Whether the class models have the text: a fifth of the ids calibrates the weights."""
+    return spark.range(1).selectExpr(f"pmod(xxhash64({draw // 7}L), 5) != 0 AS own").first()["own"]
