@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import CleaningConfig
 from . import patterns as P
-from .text import strip
+from .text import let, strip
 
 
 def drop_boilerplate_words(text: Column) -> Column:
@@ -46,7 +46,11 @@ def remove_control_chars(text: Column, replacement: str = "") -> Column:
 
 
 def straighten_quotes(text: Column) -> Column:
-    return F.translate(text, P.SMART_QUOTES, P.PLAIN_QUOTES)
+    # Translating looks each character up; most texts have none to translate.
+    return let(
+        text,
+        lambda t: F.when(t.rlike(P.MAYBE_SMART_QUOTE), F.translate(t, P.SMART_QUOTES, P.PLAIN_QUOTES)).otherwise(t),
+    )
 
 
 def clean_special_chars(text: Column, config: CleaningConfig = CleaningConfig()) -> Column:
