@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
-from ..session import scratch_path
+from ..session import scratch_path, small_batches  # noqa: F401 - the operators take it from here
 
 # The six ASCII white-space characters: blank, tab, line feed, vertical tab, form feed, return.
 ASCII_BLANKS = " \t\n\x0b\x0c\r"
@@ -26,16 +26,6 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small from here on: texts may be long, and a task's Python worker holds a
-    whole batch. Smaller settings of the session stay."""
-    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", 8 << 20)):
-        key = f"spark.sql.execution.arrow.{name}"
-        held = spark.conf.get(key)
-        if not held.isdigit() or not 0 < int(held) <= most:
-            spark.conf.set(key, str(most))
-
-
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use yet."""
     taken = {c.lower() for c in df.columns}
