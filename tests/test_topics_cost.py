@@ -77,3 +77,19 @@ def test_written_tables_drop_their_shuffles(spark):
     before = tracker.size()
     session.written(spark.range(1000).repartition(5), "dealt")
     assert tracker.size() <= before
+
+
+def test_word_scores_of_phrases_and_of_arrays(spark):
+    rows = [(1, ["Linear systems", "http://a.b/c d"]), (2, ["linear"]), (3, []), (4, None)]
+    arrays = spark.createDataFrame(rows, "id bigint, topics array<string>")
+    one_by_one = arrays.select(F.explode("topics").alias("topic")).union(spark.createDataFrame([(None,)], "topic string"))
+    found = [sorted(map(tuple, top.word_scores(*a).collect())) for a in ((arrays, "topics"), (one_by_one, "topic"))]
+    five = [(w, 1, 5_000_000) for w in ("a", "b", "c", "d", "http")]
+    assert found[0] == found[1] == [*five, ("linear", 2, 1_500_000), ("systems", 1, 2_000_000)]
+
+
+def test_sets_in_patterns_are_flat():
+    """A set in a set is a chain of tests to Java, and was tried at each word of each text."""
+    from corpusmill.functions.literals import one_of
+
+    assert "[[" not in one_of(["in", "an", "on", "un", "the", "so"], any_case=True)
